@@ -20,13 +20,22 @@ WITH base AS (
     (l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 131) % 86400
       - CASE WHEN l_partkey % 97 = 0 THEN 40 * 86400
              WHEN l_partkey % 211 = 0 THEN 2200 * 86400 ELSE 0 END AS off_s,
-    (l_partkey * 37 + l_orderkey * 11) % 19000 - 300 AS dur_s
-  FROM {lineitem})
+    (l_partkey * 37 + l_orderkey * 11) % 19000 - 300 AS dur_s,
+    CASE WHEN l_orderkey % 50 = 0 THEN 'undated'
+         WHEN l_orderkey % 90 < 31 THEN '2023-01'
+         WHEN l_orderkey % 90 < 59 THEN '2023-02' ELSE '2023-03' END AS file_month
+  FROM {lineitem}),
+timed AS (
+  SELECT *, {pickup} AS pickup_datetime, {dropoff} AS dropoff_datetime,
+    CASE l_partkey % 4 WHEN 0 THEN 'yellow' WHEN 1 THEN 'green' WHEN 2 THEN 'fhv' ELSE 'fhvhv' END AS taxi_type
+  FROM base)
 SELECT
-  CASE l_partkey % 4 WHEN 0 THEN 'yellow' WHEN 1 THEN 'green' WHEN 2 THEN 'fhv' ELSE 'fhvhv' END AS taxi_type,
-  CASE WHEN l_orderkey % 50 <> 0 THEN substr(CAST({day} AS STRING), 1, 7) END AS source_month,
-  {pickup} AS pickup_datetime,
-  {dropoff} AS dropoff_datetime,
+  taxi_type,
+  taxi_type || '_tripdata_' || file_month || '.parquet' AS source_file,
+  CASE file_month WHEN '2023-01' THEN DATE '2023-01-01' WHEN '2023-02' THEN DATE '2023-02-01'
+                  WHEN '2023-03' THEN DATE '2023-03-01' END AS source_month,
+  pickup_datetime,
+  dropoff_datetime,
   NULLIF(l_suppkey % 60, 59) AS pickup_location_id,
   NULLIF((l_suppkey * 7 + l_linenumber) % 60, 58) AS dropoff_location_id,
   CASE WHEN l_partkey % 4 < 2 THEN CAST(l_linenumber AS DOUBLE) END AS passenger_count,
@@ -37,12 +46,12 @@ SELECT
        THEN l_extendedprice / CAST(100 AS DOUBLE) * (CAST(1 AS DOUBLE) + l_discount) END AS total_amount,
   CASE WHEN l_partkey % 4 < 2 THEN l_orderkey % 5 + 1 END AS payment_type,
   CASE WHEN l_partkey % 4 < 2 THEN CAST(l_orderkey % 6 + 1 AS DOUBLE) END AS rate_code
-FROM base
+FROM timed
 """
 
 
 def _spark_time(seconds: str) -> str:
-    return f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    return f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + INTERVAL '1' SECOND * ({seconds})"
 
 
 def _duckdb_time(seconds: str) -> str:
@@ -52,7 +61,6 @@ def _duckdb_time(seconds: str) -> str:
 def _trips_sql(lineitem: str, time) -> str:
     return _TRIPS_SQL.format(
         lineitem=lineitem,
-        day=time("day_s"),
         pickup=time("day_s + off_s"),
         dropoff=time("day_s + off_s + dur_s"),
     )
@@ -64,12 +72,14 @@ def trips_sql_duckdb() -> str:
 
 
 def trips_from(lineitem: DataFrame) -> DataFrame:
-    """Unified trips with ``source_month`` and ``source_file``, before any cleaning."""
+    """Unified trips with ``source_month`` and ``source_file``, before any cleaning.
+
+    The observation counts the derived rows. It also keeps the optimizer from
+    copying the arithmetic above into each later filter, which makes generated
+    code too long for the JVM to compile. Trips read from files do not need it.
+    """
     trips = lineitem.sparkSession.sql(_trips_sql("{lineitem}", _spark_time), lineitem=lineitem)
-    name = F.concat(
-        "taxi_type", F.lit("_tripdata_"), F.coalesce("source_month", F.lit("undated")), F.lit(".parquet")
-    )
-    return trips.withColumn("source_file", name)
+    return trips.observe("derived_trips", F.count(F.lit(1)).alias("rows"))
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kerbside.schema import MONTH_PATTERN, TYPE_PATTERN
 
+NO_SUCH_MONTH = dt.date(1900, 1, 1)
+
 # A source is one Parquet file, or a directory of part files that carries the
 # source's name (also in key=value form), as Spark itself writes them.
 _SOURCE_PATTERN = r"([^/=]+\.parquet)(?:/part-[^/]+)?$"
@@ -23,6 +27,10 @@ def taxi_type(name: Column) -> Column:
 
 
 def source_month(name: Column) -> Column:
-    """Month named by a source as ``YYYY-MM``; NULL if it carries no date."""
+    """First day of the month named by a source; NULL if it carries no date.
+
+    A date that does not exist (month 13) gives a day long before any trip that can be kept.
+    """
     year, month = (F.regexp_extract(name, MONTH_PATTERN, group) for group in (1, 2))
-    return F.when(year != "", F.concat_ws("-", year, month))
+    first_day = F.concat_ws("-", year, month, F.lit("01")).try_cast("date")
+    return F.when(year != "", F.coalesce(first_day, F.lit(NO_SUCH_MONTH)))

@@ -26,13 +26,10 @@ def _year_start(year: int) -> Column:
 def in_source_month() -> Column:
     """Pickup lies in the month that the source's name carries; true if it carries none.
 
-    The month is compared as a half-open range. A month that does not exist, or
-    a missing pickup time, matches nothing.
+    The month is compared as a half-open range; a missing pickup time is in no month.
     """
-    month = F.col("source_month")
-    start = F.concat(month, F.lit("-01 00:00:00")).try_cast("timestamp_ntz")
-    end = F.add_months(start, 1).cast("timestamp_ntz")
-    pickup = F.col("pickup_datetime")
+    month, pickup = F.col("source_month"), F.col("pickup_datetime")
+    start, end = (day.cast("timestamp_ntz") for day in (month, F.add_months(month, 1)))
     return month.isNull() | F.coalesce((pickup >= start) & (pickup < end), F.lit(False))
 
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from kerbside.fixtures import trips_sql_duckdb
 
-_NAMED = f"""named AS (
-  SELECT t.*, taxi_type || '_tripdata_' || coalesce(source_month, 'undated') || '.parquet' AS source_file
-  FROM ({trips_sql_duckdb()}) t)"""
+_NAMED = f"named AS ({trips_sql_duckdb()})"
 
 _VALID = """valid AS (
-  SELECT * FROM named WHERE source_month IS NULL OR strftime(pickup_datetime, '%Y-%m') = source_month)"""
+  SELECT * FROM named WHERE source_month IS NULL OR date_trunc('month', pickup_datetime) = source_month)"""
 
 _FEATURES = """
   CAST(epoch(dropoff_datetime) - epoch(pickup_datetime) AS BIGINT) / CAST(60 AS DOUBLE) AS trip_duration_minutes,
@@ -86,7 +84,7 @@ _SOURCES = """(
   FROM named GROUP BY ALL)"""
 
 _RULES = {
-    "month": "source_month IS NULL OR strftime(pickup_datetime, '%Y-%m') = source_month",
+    "month": "source_month IS NULL OR date_trunc('month', pickup_datetime) = source_month",
     "required": _REQUIRED,
     "year": _YEAR,
     "duration": _DURATION,
@@ -156,28 +154,28 @@ FROM {_SOURCES} GROUP BY ROLLUP (taxi_type)""",
     "file_coverage": f"""{_ALL},
 files AS (
   SELECT taxi_type, source_month FROM {_SOURCES} s
-  WHERE source_month IS NOT NULL AND NOT (taxi_type = 'fhv' AND source_month = '2023-03'))
+  WHERE source_month IS NOT NULL AND NOT (taxi_type = 'fhv' AND source_month = DATE '2023-03-01'))
 SELECT t.taxi_type, CAST(m.month AS DATE) AS month,
   CASE WHEN f.source_month IS NULL THEN 'MISSING'
-       WHEN f.taxi_type = 'green' AND f.source_month = '2023-02' THEN 'CORRUPT' ELSE 'PRESENT' END AS status
+       WHEN f.taxi_type = 'green' AND f.source_month = DATE '2023-02-01' THEN 'CORRUPT' ELSE 'PRESENT' END AS status
 FROM (SELECT unnest(generate_series(DATE '2022-12-01', DATE '2023-04-01', INTERVAL 1 MONTH)) AS month) m
 CROSS JOIN (SELECT unnest(['yellow', 'green', 'fhv', 'fhvhv']) AS taxi_type) t
-LEFT JOIN files f ON f.taxi_type = t.taxi_type AND f.source_month = strftime(m.month, '%Y-%m')""",
+LEFT JOIN files f ON f.taxi_type = t.taxi_type AND f.source_month = m.month""",
     "outcome_rollup": f"""
 WITH log AS (SELECT {_OUTCOMES}[user_id % 5 + 1] AS outcome, value AS seconds FROM events)
 SELECT d.outcome, COUNT(l.outcome) + CASE WHEN d.outcome = 'ALREADY_EXISTS' THEN 3 ELSE 0 END AS files,
   round(coalesce(SUM(l.seconds), 0), 4) AS seconds
 FROM (SELECT unnest({_OUTCOMES}) AS outcome) d LEFT JOIN log l USING (outcome) GROUP BY d.outcome""",
     "pending_files": f"""{_ALL} SELECT taxi_type, file_name, length FROM {_SOURCES}
-WHERE source_month IS NULL OR source_month <> '2023-01'""",
+WHERE source_month IS NULL OR source_month <> DATE '2023-01-01'""",
     "stage_reset": f"{_ALL} SELECT taxi_type, file_name, length FROM {_SOURCES}",
     "changed_partitions": f"""{_ALL}
 SELECT d.dataset, t.taxi_type FROM (SELECT DISTINCT taxi_type FROM named) t
 CROSS JOIN (SELECT unnest(['zone_hourly', 'daily_stats', 'zone_time_buckets', 'zone_anomaly_stats']) AS dataset) d
 WHERE t.taxi_type <> 'yellow'""",
     "upsert_daily_stats": f"""{_ALL},
-old AS ({_daily("source_month <= '2023-02'")}),
-new AS ({_daily("source_month >= '2023-02'")})
+old AS ({_daily("source_month <= DATE '2023-02-01'")}),
+new AS ({_daily("source_month >= DATE '2023-02-01'")})
 SELECT pickup_date, taxi_type, coalesce(n.trip_count, o.trip_count) AS trip_count,
   coalesce(n.avg_duration_minutes, o.avg_duration_minutes) AS avg_duration_minutes,
   CASE WHEN n.trip_count IS NOT NULL THEN n.total_passengers ELSE o.total_passengers END AS total_passengers,

@@ -41,7 +41,7 @@ def run(
 def ingest_listed(
     store: Store, listing: DataFrame, as_of: dt.date | None = None, min_year: int = MIN_YEAR
 ) -> DataFrame:
-    """Process the files of a listing (path, length, mtime) that are pending.
+    """Process the files of a listing that are pending.
 
     Only pending files are opened for the integrity check.
     """
@@ -69,7 +69,7 @@ def ingest(store: Store, files: Sequence[Row], as_of: dt.date | None, min_year:
         as_of_year = as_of.year if as_of else None
         sources = spark.createDataFrame(
             sorted({(f.taxi_type, f.file_name, f.source_month) for f in usable}, key=str),
-            "taxi_type string, source_file string, source_month string",
+            "taxi_type string, source_file string, source_month date",
         )
         store.write_states(partials(scan_files(spark, usable), min_year, as_of_year), sources)
         refresh_datasets(store, types)
@@ -128,7 +128,7 @@ def _manifest_entries(usable: Sequence[Row], unusable: Sequence[Row], accounts:
 
 def _manifest_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:
     schema = (
-        "stage string, file_name string, taxi_type string, source_month string, "
+        "stage string, file_name string, taxi_type string, source_month date, "
         "length bigint, status string, rows_in bigint, rows_kept bigint"
     )
     return spark.createDataFrame(entries, schema).withColumn("committed_at", F.current_timestamp())

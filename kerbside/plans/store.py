@@ -25,7 +25,7 @@ from kerbside.sources.processed import read_or_empty
 _TYPES = {"bigint": T.LongType(), "double": T.DoubleType()}
 STATE_SCHEMA = T.StructType(
     [
-        T.StructField("source_month", T.StringType()),
+        T.StructField("source_month", T.DateType()),
         T.StructField("rejected_by", T.StringType()),
         T.StructField("pickup_date", T.DateType()),
         T.StructField("pickup_hour", T.IntegerType()),

@@ -32,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = dt.date(2023, 12, 31)
+JAN, FEB, MAR = (dt.date(2023, month, 1) for month in (1, 2, 3))
 SOURCE = ("source_file", "source_month")
 CHECKED_ZONES = (3, 17, 42)
 ZSCORE_THRESHOLD = 1.5
@@ -167,7 +168,7 @@ def stored_zone_anomaly_stats(spark, sf):
     store = Store(spark, scratch(spark, "stored-stats"))
     trips = _trips(spark, sf)
     month = F.col("source_month")
-    for part in (month == "2023-01", month == "2023-02", month == "2023-01", month == "2023-03", month.isNull()):
+    for part in (month == JAN, month == FEB, month == JAN, month == MAR, month.isNull()):
         store.write_states(agg.partials(trips.filter(part), as_of_year=AS_OF.year))
     return _rounded_stats(agg.zone_anomaly_stats(store.states()))
 
@@ -218,8 +219,8 @@ def inventory(spark, sf):
 @query
 def file_coverage(spark, sf):
     kind, month = F.col("taxi_type"), F.col("source_month")
-    files = _sources(spark, sf).filter(~((kind == "fhv") & month.eqNullSafe("2023-03")))
-    files = files.withColumn("is_valid", ~((kind == "green") & month.eqNullSafe("2023-02")))
+    files = _sources(spark, sf).filter(~((kind == "fhv") & month.eqNullSafe(F.lit(MAR))))
+    files = files.withColumn("is_valid", ~((kind == "green") & month.eqNullSafe(F.lit(FEB))))
     return cov.coverage(files, dt.date(2022, 12, 1), dt.date(2023, 7, 15))
 
 
@@ -238,9 +239,9 @@ def _manifest(sources: DataFrame) -> DataFrame:
     """January is done; fhv of February was done and then reset."""
     month = F.col("source_month")
     done = sources.filter(
-        (month == "2023-01") | ((month == "2023-02") & (F.col("taxi_type") == "fhv"))
+        (month == JAN) | ((month == FEB) & (F.col("taxi_type") == "fhv"))
     ).withColumns({"status": F.lit("done"), "committed_at": _timestamp("2023-06-01 00:00:00")})
-    reset = done.filter(month == "2023-02").withColumns(
+    reset = done.filter(month == FEB).withColumns(
         {"status": F.lit("reset"), "committed_at": _timestamp("2023-06-02 00:00:00")}
     )
     return done.unionByName(reset).withColumn("stage", F.lit("transform"))
@@ -285,8 +286,8 @@ def changed_partitions(spark, sf):
 def upsert_daily_stats(spark, sf):
     """January and February first; then February and March, without the fare column."""
     trips, month = _clean(spark, sf), F.col("source_month")
-    target = agg.daily_stats(trips.filter(month <= "2023-02"))
-    incoming = agg.daily_stats(trips.filter(month >= "2023-02")).drop("avg_fare")
+    target = agg.daily_stats(trips.filter(month <= FEB))
+    incoming = agg.daily_stats(trips.filter(month >= FEB)).drop("avg_fare")
     return keyed.upsert(target, incoming, PRIMARY_KEYS["daily_stats"])
 
 

@@ -183,7 +183,7 @@ MANIFEST = _struct(
     stage=_STRING,
     file_name=_STRING,
     taxi_type=_STRING,
-    source_month=_STRING,
+    source_month=_DATE,
     length=_LONG,
     status=_STRING,
     rows_in=_LONG,

@@ -26,17 +26,17 @@ def coverage(
         .select(F.explode(months).alias("month"))
         .filter(F.col("month") <= last)
         .select(F.explode(F.array(*map(F.lit, types))).alias("taxi_type"), "month")
-        .withColumn("source_month", F.date_format("month", "yyyy-MM"))
     )
     found = (
         files.filter(F.col("source_month").isNotNull())
         .groupBy("taxi_type", "source_month")
         .agg(F.bool_and("is_valid").alias("is_valid"))
+        .withColumnRenamed("source_month", "month")
     )
     status = (
         F.when(F.col("is_valid").isNull(), "MISSING").when(F.col("is_valid"), "PRESENT").otherwise("CORRUPT")
     )
-    return grid.join(found, ["taxi_type", "source_month"], "left").select(
+    return grid.join(found, ["taxi_type", "month"], "left").select(
         "taxi_type", "month", status.alias("status")
     )
 

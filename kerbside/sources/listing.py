@@ -11,22 +11,32 @@ from kerbside.functions.names import source_file, source_month, taxi_type
 from kerbside.schema import PARQUET_MAGIC
 
 _PROBE_SCHEMA = (
-    "path string, length bigint, mtime timestamp, is_valid boolean, "
+    "path string, uri string, length bigint, mtime timestamp, is_valid boolean, "
     "row_count bigint, columns array<struct<name: string, type: string>>"
 )
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, length and modification time of all Parquet files below ``root``.
-
-    The content column of the source is never selected, so no file is read.
-    """
-    return (
+    """Path, URI, length and modification time of all Parquet files below ``root``."""
+    return select_listing(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select("path", "length", F.col("modificationTime").alias("mtime"))
+    )
+
+
+def select_listing(files: DataFrame) -> DataFrame:
+    """The listing columns of a binary-file source.
+
+    Its content column is never selected, so no file is read. The URI is the
+    form of the path that rows read from the file carry in their metadata.
+    """
+    return files.select(
+        "path",
+        F.col("_metadata.file_path").alias("uri"),
+        "length",
+        F.col("modificationTime").alias("mtime"),
     )
 
 

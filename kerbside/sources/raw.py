@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.names import source_file, source_month
+from kerbside.operators.joins import lookup_join
 from kerbside.operators.unify import normalise, union_trips
 from kerbside.schema import RAW_COLUMNS, TRIP_SCHEMA
 from kerbside.sources.listing import check_files
@@ -30,11 +30,14 @@ def scan_files(spark: SparkSession, files: list[Row]) -> DataFrame:
     casts to the unified schema before the union. So months of differing
     physical types never meet in one reader, the reader stays vectorised, and
     the number of scans grows with the layouts seen, not with the files.
+
+    What a name says is worked out once per file, not per row: rows look it up
+    by the URI of their file.
     """
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple, list[Row]] = {}
     for file in files:
-        groups.setdefault((file.taxi_type, _layout(file)), []).append(file.path)
-    scans = [_scan_group(spark, kind, paths) for (kind, _), paths in sorted(groups.items())]
+        groups.setdefault((file.taxi_type, _layout(file)), []).append(file)
+    scans = [_scan_group(spark, kind, group) for (kind, _), group in sorted(groups.items())]
     return union_trips(scans) if scans else _no_trips(spark)
 
 
@@ -43,7 +46,8 @@ def _layout(file: Row) -> tuple:
     return tuple(sorted((c["name"], c["type"]) for c in file.columns if c["name"].lower() in used))
 
 
-def _scan_group(spark: SparkSession, taxi_type: str, paths: list[str]) -> DataFrame:
+def _scan_group(spark: SparkSession, taxi_type: str, files: list[Row]) -> DataFrame:
+    paths = [file.path for file in files]
     used = {source.lower() for source in RAW_COLUMNS[taxi_type].values()}
     # One footer read per layout gives the physical types of the whole group.
     footer = spark.read.parquet(paths[0]).schema
@@ -52,13 +56,17 @@ def _scan_group(spark: SparkSession, taxi_type: str, paths: list[str]) -> DataFr
         spark.read.schema(schema)
         .option("ignoreCorruptFiles", "true")
         .parquet(*paths)
-        .select("*", F.col("_metadata.file_path").alias("_path"))
+        .select("*", F.col("_metadata.file_path").alias("uri"))
+    )
+    sources = spark.createDataFrame(
+        [(file.uri, file.file_name, file.source_month) for file in files],
+        "uri string, source_file string, source_month date",
     )
-    named = raw.withColumn("source_file", source_file(F.col("_path")))
-    named = named.withColumn("source_month", source_month(F.col("source_file")))
-    return normalise(named, taxi_type, keep=("source_file", "source_month"))
+    return lookup_join(normalise(raw, taxi_type, keep=("uri",)), sources, ["uri"]).drop("uri")
 
 
 def _no_trips(spark: SparkSession) -> DataFrame:
     empty = spark.createDataFrame([], TRIP_SCHEMA)
-    return empty.withColumns({c: F.lit(None).cast("string") for c in ("source_file", "source_month")})
+    return empty.withColumns(
+        {"source_file": F.lit(None).cast("string"), "source_month": F.lit(None).cast("date")}
+    )

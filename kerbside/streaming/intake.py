@@ -12,6 +12,7 @@ from kerbside.operators.aggregates import partials
 from kerbside.plans.ingest import ingest_listed
 from kerbside.plans.store import Store
 from kerbside.schema import MIN_YEAR
+from kerbside.sources.listing import select_listing
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -31,14 +32,13 @@ def run_stream(
     batch ingest. Its writes replace what an interrupted batch left, so that a
     repeated batch changes nothing.
     """
-    listing = (
+    listing = select_listing(
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", str(files_per_batch))
         .load(raw_dir)
-        .select("path", "length", F.col("modificationTime").alias("mtime"))
     )
 
     def ingest_batch(batch: DataFrame, _: int) -> None:

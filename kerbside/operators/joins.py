@@ -31,6 +31,7 @@ def lookup_join(
         raise ValueError(how)
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return large.join(F.broadcast(lookup), list(keys), how)
-    salt = F.pmod(F.xxhash64(*large.columns, F.spark_partition_id()), F.lit(salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    salt = F.pmod(F.xxhash64(*large.columns, F.spark_partition_id()), F.lit(salts).cast("bigint"))
+    each = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    repeated = lookup.withColumn("_salt", F.explode(each))
     return large.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -16,20 +16,23 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
+    lookup_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner or left join of ``large`` with ``lookup``, which is unique by ``keys``.
 
-    Up to ``broadcast_rows`` lookup rows, counted first, are broadcast and the large
-    side is not shuffled. Beyond that both sides shuffle on key and salt: rows of
+    Up to ``broadcast_rows`` lookup rows are broadcast and the large side is not
+    shuffled. They are counted first, unless the caller knows their number. Beyond that both sides shuffle on key and salt: rows of
     a hot key spread over ``salts`` tasks, and each lookup row is repeated once per
     salt. The salt comes from the row and its input partition: equal copies of a row
     spread too, and a re-run task gives the same salts again.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if lookup_rows is None:
+        lookup_rows = lookup.limit(broadcast_rows + 1).count()
+    if lookup_rows <= broadcast_rows:
         return large.join(F.broadcast(lookup), list(keys), how)
     salt = F.pmod(F.xxhash64(*large.columns, F.spark_partition_id()), F.lit(salts).cast("bigint"))
     each = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))

@@ -211,7 +211,9 @@ def zscore_flags(trips: DataFrame, stats: DataFrame, threshold: float = 3.0) ->
     type; flagged if any exceeds ``threshold``. No deviation, or none to compare: no flag.
     """
     keys = PRIMARY_KEYS["zone_anomaly_stats"]
-    joined = lookup_join(trips, stats.drop("trip_count"), keys, "left")
+    # One row per zone and type; kept, so that counting and joining compute it once.
+    stats = stats.drop("trip_count").persist(StorageLevel.MEMORY_AND_DISK)
+    joined = lookup_join(trips, stats, keys, "left")
     scores = {}
     for column in CLUSTER_FEATURES:
         spread = F.col(f"stddev_{column}")

@@ -62,7 +62,8 @@ def _scan_group(spark: SparkSession, taxi_type: str, files: list[Row]) -> DataFr
         [(file.uri, file.file_name, file.source_month) for file in files],
         "uri string, source_file string, source_month date",
     )
-    return lookup_join(normalise(raw, taxi_type, keep=("uri",)), sources, ["uri"]).drop("uri")
+    trips = normalise(raw, taxi_type, keep=("uri",))
+    return lookup_join(trips, sources, ["uri"], lookup_rows=len(files)).drop("uri")
 
 
 def _no_trips(spark: SparkSession) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from kerbside.operators.unify import normalise, union_trips
 from kerbside.schema import RAW_COLUMNS, TRIP_SCHEMA
 from kerbside.sources.listing import check_files
 
+_PART = "/part-"  # starts the name of a part file in a source's folder
+
 
 def scan_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Unified trips of all valid raw files, with ``source_file`` and ``source_month``."""
@@ -31,39 +35,69 @@ def scan_files(spark: SparkSession, files: list[Row]) -> DataFrame:
     physical types never meet in one reader, the reader stays vectorised, and
     the number of scans grows with the layouts seen, not with the files.
 
-    What a name says is worked out once per file, not per row: rows look it up
-    by the URI of their file.
+    What a name says is worked out once per source, not per row: rows look it up
+    by the URI of their source, in a table of one row per source.
     """
     groups: dict[tuple, list[Row]] = {}
     for file in files:
         groups.setdefault((file.taxi_type, _layout(file)), []).append(file)
-    scans = [_scan_group(spark, kind, group) for (kind, _), group in sorted(groups.items())]
+    parts = Counter(_source_path(file.path) for file in files)
+    scans = [_scan_group(spark, kind, group, parts) for (kind, _), group in sorted(groups.items())]
     return union_trips(scans) if scans else _no_trips(spark)
 
 
+def _source_path(path: str) -> str:
+    """The folder of a part file; any other path as it is."""
+    folder, found, name = path.rpartition(_PART)
+    return folder if found and "/" not in name else path
+
+
+def _cut(uri: str, count: int) -> str:
+    pieces = uri.split(_PART)
+    return _PART.join(pieces[:count])
+
+
+def _cut_count(uris: list[str]) -> int | None:
+    """How many ``/part-`` pieces of a URI name its source; None if that differs by file."""
+    count = 1 + min(_source_path(uri).count(_PART) for uri in uris)
+    return count if all(_cut(uri, count) == _source_path(uri) for uri in uris) else None
+
+
+def _roots(files: list[Row], parts: Counter) -> list[str]:
+    """Paths to read: a folder of part files as one path, if all its files are wanted."""
+    wanted = Counter(_source_path(file.path) for file in files)
+    whole = {path for path, count in wanted.items() if count == parts[path]}
+    single = [file.path for file in files if _source_path(file.path) not in whole]
+    return sorted(whole) + single
+
+
 def _layout(file: Row) -> tuple:
     used = {source.lower() for source in RAW_COLUMNS[file.taxi_type].values()}
     return tuple(sorted((c["name"], c["type"]) for c in file.columns if c["name"].lower() in used))
 
 
-def _scan_group(spark: SparkSession, taxi_type: str, files: list[Row]) -> DataFrame:
-    paths = [file.path for file in files]
+def _scan_group(spark: SparkSession, taxi_type: str, files: list[Row], parts: Counter) -> DataFrame:
     used = {source.lower() for source in RAW_COLUMNS[taxi_type].values()}
     # One footer read per layout gives the physical types of the whole group.
-    footer = spark.read.parquet(paths[0]).schema
+    footer = spark.read.parquet(files[0].path).schema
     schema = type(footer)([field for field in footer.fields if field.name.lower() in used])
+    uri, count = F.col("_metadata.file_path"), _cut_count([file.uri for file in files])
     raw = (
         spark.read.schema(schema)
         .option("ignoreCorruptFiles", "true")
-        .parquet(*paths)
-        .select("*", F.col("_metadata.file_path").alias("uri"))
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*_roots(files, parts))
+        .select("*", (uri if count is None else F.substring_index(uri, _PART, count)).alias("uri"))
     )
+    named = {
+        (file.uri if count is None else _source_path(file.uri), file.file_name, file.source_month)
+        for file in files
+    }
     sources = spark.createDataFrame(
-        [(file.uri, file.file_name, file.source_month) for file in files],
-        "uri string, source_file string, source_month date",
+        sorted(named, key=str), "uri string, source_file string, source_month date"
     )
     trips = normalise(raw, taxi_type, keep=("uri",))
-    return lookup_join(trips, sources, ["uri"], lookup_rows=len(files)).drop("uri")
+    return lookup_join(trips, sources, ["uri"], lookup_rows=len(named)).drop("uri")
 
 
 def _no_trips(spark: SparkSession) -> DataFrame:

@@ -171,3 +171,24 @@ def test_changed(spark, log, expected):
     rows = [("d", "yellow", at(mtime), status, at(when)) for status, mtime, when in log]
     schema = "dataset string, taxi_type string, last_mtime timestamp, status string, loaded_at timestamp"
     assert bool(rows_of(changed(parts, spark.createDataFrame(rows, schema)))) == expected
+
+
+@pytest.mark.parametrize("root", ["raw", "part-of/raw"])
+def test_scan_of_folders_and_files(spark, tmp_path, root):
+    """Sources as folders of part files next to single files, also below a folder named like a part."""
+    raw = tmp_path / root
+    folder = raw / "yellow_tripdata_2023-01.parquet"
+    folder.mkdir(parents=True)
+    for number in range(3):
+        pq.write_table(yellow_table(), folder / f"part-{number}.parquet")
+    pq.write_table(yellow_table(pa.float64()), folder / "part-3.parquet")
+    pq.write_table(yellow_table(), raw / "yellow_tripdata_2023-02.parquet")
+    hive = raw / "part-hive" / "source_file=yellow_tripdata_2023-03.parquet"
+    hive.mkdir(parents=True)
+    pq.write_table(yellow_table(), hive / "part-0.parquet")
+    found = scan_raw(spark, str(raw)).groupBy("source_file", "source_month").count().collect()
+    assert {(r.source_file, r.source_month.month): r["count"] for r in found} == {
+        ("yellow_tripdata_2023-01.parquet", 1): 8,
+        ("yellow_tripdata_2023-02.parquet", 2): 2,
+        ("yellow_tripdata_2023-03.parquet", 3): 2,
+    }

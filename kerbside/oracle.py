@@ -156,6 +156,7 @@ files AS (
   SELECT taxi_type, source_month FROM {_SOURCES} s
   WHERE source_month IS NOT NULL AND NOT (taxi_type = 'fhv' AND source_month = DATE '2023-03-01'))
 SELECT t.taxi_type, CAST(m.month AS DATE) AS month,
+  t.taxi_type || '_tripdata_' || strftime(m.month, '%Y-%m') || '.parquet' AS file_name,
   CASE WHEN f.source_month IS NULL THEN 'MISSING'
        WHEN f.taxi_type = 'green' AND f.source_month = DATE '2023-02-01' THEN 'CORRUPT' ELSE 'PRESENT' END AS status
 FROM (SELECT unnest(generate_series(DATE '2022-12-01', DATE '2023-04-01', INTERVAL 1 MONTH)) AS month) m

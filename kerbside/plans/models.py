@@ -21,6 +21,10 @@ from kerbside.plans.metrics import metric_rows
 from kerbside.plans.store import Store
 from kerbside.schema import FARE_TYPES, MAX_LABEL_FARE, PRIMARY_KEYS, REGRESSION, SPLIT_SEED, TRAIN_SHARE
 
+# Columns that pipeline stages add on their way to a prediction.
+_WORKING_COLUMNS = (
+    "taxi_type_idx", "payment_idx", "payment_kind", "features_raw", "features", "rawPrediction", "probability",
+)
 ZONE_FEATURES = ("pickup_location_id", "pickup_hour", "pickup_dow", "pickup_month")
 CLUSTER_FEATURES = ("fare_amount", "trip_duration_minutes", "trip_distance")
 
@@ -124,8 +128,12 @@ def train_fare_in_store(store: Store, model_path: str) -> Fitted:
 
 
 def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
-    """Predictions for requested zones and times (zone, hour, dow, month, type)."""
-    return model.transform(requests).drop("taxi_type_idx", "features_raw", "features")
+    """Predictions of a fare, demand or tip model for requested zones and times.
+
+    Requests carry the model's inputs: zone, hour, day of week and month; the type
+    for fare and demand; fare and kind of payment for tips.
+    """
+    return model.transform(requests).drop(*_WORKING_COLUMNS)
 
 
 # -- tips -----------------------------------------------------------------------
@@ -165,33 +173,55 @@ def train_tip(trips: DataFrame, model_path: str | None = None, max_iter: int = 5
 # -- anomalies --------------------------------------------------------------------
 
 
-def cluster_trips(
+@dataclass
+class TripClusters:
+    """Fitted trip clusters, and the distance from a centre beyond which a trip is an anomaly."""
+
+    model: PipelineModel
+    limit: float
+
+    def flag(self, trips: DataFrame) -> DataFrame:
+        """Cluster, distance to its centre and anomaly flag of trips with all features."""
+        placed = _place(self.model, trips)
+        return placed.withColumn("is_anomaly", F.col("centre_distance") > F.lit(self.limit))
+
+
+def train_clusters(
     trips: DataFrame,
     k: int = 8,
     cut: float = 0.99,
     seed: int = SPLIT_SEED,
     max_iter: int = 20,
     model_path: str | None = None,
-) -> DataFrame:
-    """Assign clean trips to k clusters and flag those far from their centre.
+) -> TripClusters:
+    """Cluster clean trips by fare, duration and distance, each scaled to unit deviation.
 
-    Far means a distance above the ``cut`` quantile of all distances. Features
-    are scaled to unit deviation first. Trips without fare or distance stay out.
+    The limit is the ``cut`` quantile of all distances to the assigned centre.
     """
     stages = [
         VectorAssembler(inputCols=list(CLUSTER_FEATURES), outputCol="features_raw", handleInvalid="skip"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
         KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed, maxIter=max_iter),
     ]
-    complete = trips.dropna(subset=list(CLUSTER_FEATURES))
-    model = Pipeline(stages=stages).fit(complete.select(*CLUSTER_FEATURES))
+    features = trips.select(*CLUSTER_FEATURES)
+    model = Pipeline(stages=stages).fit(features)
     if model_path:
         model.write().overwrite().save(model_path)
-    placed = model.transform(complete)
-    placed = placed.withColumn("centre_distance", _centre_distance(model.stages[-1].clusterCenters()))
-    limit = placed.agg(F.percentile_approx("centre_distance", cut, 10_000)).first()[0]
-    flag = F.col("centre_distance") > F.lit(limit)
-    return placed.drop("features_raw", "features").withColumn("is_anomaly", flag)
+    distances = _place(model, features)
+    limit = distances.agg(F.percentile_approx("centre_distance", cut, 10_000)).first()[0]
+    return TripClusters(model, limit)
+
+
+def cluster_trips(trips: DataFrame, **settings) -> DataFrame:
+    """Cluster clean trips and flag those far from their centre."""
+    return train_clusters(trips, **settings).flag(trips)
+
+
+def _place(model: PipelineModel, trips: DataFrame) -> DataFrame:
+    """Trips with their cluster and centre distance; those that lack a feature stay out."""
+    placed = model.transform(trips.dropna(subset=list(CLUSTER_FEATURES)))
+    distance = _centre_distance(model.stages[-1].clusterCenters())
+    return placed.withColumn("centre_distance", distance).drop("features_raw", "features")
 
 
 def _centre_distance(centres: Sequence[Sequence[float]]) -> Column:

@@ -37,10 +37,15 @@ def coverage(
         F.when(F.col("is_valid").isNull(), "MISSING").when(F.col("is_valid"), "PRESENT").otherwise("CORRUPT")
     )
     return grid.join(found, ["taxi_type", "month"], "left").select(
-        "taxi_type", "month", status.alias("status")
+        "taxi_type", "month", _file_name().alias("file_name"), status.alias("status")
     )
 
 
+def _file_name():
+    month = F.date_format("month", "yyyy-MM")
+    return F.concat("taxi_type", F.lit("_tripdata_"), month, F.lit(".parquet"))
+
+
 def outcome_rollup(log: DataFrame, already_present: int = 0) -> DataFrame:
     """Files and seconds per ingest outcome; an outcome that did not occur counts 0.
 

@@ -16,6 +16,9 @@ def session(app: str = "kerbside", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A scan reads about half of the raw columns, so that a split of this size
+        # is still a small task, and there are fewer of them.
+        .config("spark.sql.files.maxPartitionBytes", "512m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in settings.items():

@@ -217,3 +217,42 @@ def test_latest_metrics(spark):
     log = old.withColumn("ts", F.lit("2024-01-01").cast("timestamp")).unionByName(new)
     found = {r.metric: (r.value, r.text, r.band) for r in latest_metrics(log).collect()}
     assert found == {"rmse": (12.0, None, "red"), "mae": (8.0, None, "red"), "status": (None, "ready", None)}
+
+
+def test_extract_books(spark, tmp_path, raw_tables):
+    from kerbside.plans.extract import fetch_list, record_extract
+
+    store, raw = Store(spark, str(tmp_path / "store")), tmp_path / "raw"
+    write(raw, {n: t for n, t in raw_tables.items() if n.startswith("yellow") and "02" not in n.split("2023-")[-1]})
+    (raw / "fhv_tripdata_2023-01.parquet").write_bytes(b"PAR1 cut off")
+    wanted = fetch_list(store, str(raw), dt.date(2023, 1, 1), dt.date(2023, 6, 1), ["yellow", "fhv"])
+    assert {(r.file_name, r.status) for r in wanted.collect()} == {
+        ("yellow_tripdata_2023-02.parquet", "MISSING"),
+        ("fhv_tripdata_2023-01.parquet", "CORRUPT"),
+        ("fhv_tripdata_2023-02.parquet", "MISSING"),
+        ("fhv_tripdata_2023-03.parquet", "MISSING"),
+    }
+    log = spark.createDataFrame(
+        [("u1", "a", "DOWNLOADED", 2.0), ("u2", "b", "NOT_FOUND", 1.0)],
+        "url string, file_name string, outcome string, seconds double",
+    )
+    record_extract(store, str(raw), log, already_present=2)
+    found = {(r.metric, r.labels): r.value for r in latest_metrics(store.log("run_metrics")).collect()}
+    assert found[("files", '{"outcome":"ALREADY_EXISTS"}')] == 2
+    assert found[("seconds", '{"outcome":"DOWNLOADED"}')] == 2.0
+    assert found[("files", '{"outcome":"CHECK_FAILED"}')] == 0
+    assert found[("files_on_disk", '{"taxi_type":"yellow"}')] == 3
+    assert found[("files_on_disk", '{"taxi_type":"ALL"}')] == 4
+    assert found[("bytes_on_disk", '{"taxi_type":"fhv"}')] == 12
+
+
+def test_command_line(spark, tmp_path, raw_tables, capsys):
+    from kerbside.__main__ import main
+
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "store")
+    write(raw, {n: t for n, t in raw_tables.items() if "2023-01" in n})
+    main(["run", raw, root, "--as-of", "2025-01-01"])
+    main(["load", root])
+    main(["status", root])
+    assert "rows_loaded" in capsys.readouterr().out
+    assert Store(spark, root).serving("daily_stats").count() > 0

@@ -117,6 +117,11 @@ flagged AS (
     OR coalesce(z_trip_distance > 1.5, FALSE) AS is_anomaly
   FROM scored)"""
 
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
 _OUTCOMES = (
     "['ALREADY_EXISTS', 'DOWNLOADED', 'NOT_FOUND', 'ACCESS_DENIED', 'UNAVAILABLE', "
     "'CHECK_FAILED', 'DOWNLOAD_FAILED']"
@@ -148,6 +153,10 @@ FROM judged GROUP BY taxi_type""",
 SELECT taxi_type, source_file, source_month, COUNT(*) AS trip_count, COUNT(trip_distance) AS distances,
   COUNT(payment_type) AS payments, MIN(pickup_datetime) AS first_pickup, MAX(dropoff_datetime) AS last_dropoff
 FROM named GROUP BY ALL""",
+    "file_integrity": " UNION ALL ".join(
+        f"SELECT '{table}.parquet' AS file_name, TRUE AS is_valid, COUNT(*) AS row_count FROM {table}"
+        for table in _TABLES
+    ),
     "inventory": f"""{_ALL}
 SELECT coalesce(taxi_type, 'ALL') AS taxi_type, COUNT(*) AS files, CAST(SUM(length) AS BIGINT) AS bytes
 FROM {_SOURCES} GROUP BY ROLLUP (taxi_type)""",
@@ -198,9 +207,21 @@ FROM events""",
     "ingest_manifest": f"""WITH {_NAMED}, {_JUDGED}
 SELECT 'transform' AS stage, source_file AS file_name, taxi_type, source_month, 'done' AS status, rows_in, rows_kept
 FROM ({_ACCOUNTS})""",
+    "ingest_metrics": f"""WITH {_NAMED}, {_JUDGED},
+accounts AS ({_ACCOUNTS}),
+totals AS (
+  SELECT taxi_type, CAST(COUNT(*) AS DOUBLE) AS files_processed, CAST(0 AS DOUBLE) AS files_corrupt,
+    CAST(SUM(rows_in) AS DOUBLE) AS rows_before, CAST(SUM(rows_kept) AS DOUBLE) AS rows_after
+  FROM accounts GROUP BY taxi_type)
+SELECT 'transform' AS job, metric, '{{"taxi_type":"' || taxi_type || '"}}' AS labels, value
+FROM totals UNPIVOT (value FOR metric IN (files_processed, files_corrupt, rows_before, rows_after))""",
     "served_daily_stats": _ALL + _daily(),
     "fare_training_set": f"""{_ALL} SELECT * FROM ({_HOURLY})
 WHERE taxi_type IN ('yellow', 'green') AND avg_fare > 0 AND avg_fare < 200""",
+    "tip_training_set": f"""{_ALL}
+SELECT fare_amount, pickup_location_id, pickup_hour, pickup_dow, pickup_month, payment_type, taxi_type,
+  CAST(tip_amount > 0 AS DOUBLE) AS tipped
+FROM clean WHERE taxi_type IN ('yellow', 'green') AND tip_amount IS NOT NULL AND payment_type IS NOT NULL""",
     "zscore_anomalies": f"""{_ALL}, {_SCORED}
 SELECT pickup_location_id, taxi_type, COUNT(*) AS trip_count, COUNT(*) FILTER (WHERE is_anomaly) AS anomaly_count
 FROM flagged GROUP BY ALL""",

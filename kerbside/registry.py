@@ -208,7 +208,8 @@ def raw_scan(spark, sf):
 
 @query
 def file_integrity(spark, sf):
-    return check_files(spark, sf).select("file_name", "length", "is_valid", "row_count")
+    """The table files themselves: names, integrity and row counts from their footers."""
+    return check_files(spark, sf).select("file_name", "is_valid", "row_count")
 
 
 @query
@@ -333,6 +334,15 @@ def ingest_manifest(spark, sf):
     )
 
 
+@query
+def ingest_metrics(spark, sf):
+    """Raw files through the batch ingest; the metrics it logs per type."""
+    store_dir = scratch(spark, "store")
+    ingest.run(spark, _raw_dir(spark, sf), store_dir, AS_OF)
+    latest = metrics.latest_metrics(Store(spark, store_dir).log("run_metrics"))
+    return latest.filter(F.col("labels") != "{}").select("job", "metric", "labels", "value")
+
+
 @query
 def served_daily_stats(spark, sf):
     """Raw files through ingest and load into the keyed serving table."""
@@ -381,6 +391,12 @@ def demand_vs_actual(spark, sf):
     return serving.demand_vs_actual(forecast, hourly)
 
 
+@query
+def tip_training_set(spark, sf):
+    columns = ["fare_amount", *models.ZONE_FEATURES, "payment_type", "taxi_type", "tipped"]
+    return models.tip_training_set(_clean(spark, sf)).select(*columns)
+
+
 @query
 def tip_classifier(spark, sf):
     return models.train_tip(_clean(spark, sf)).metrics_frame(spark)

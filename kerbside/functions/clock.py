@@ -20,10 +20,8 @@ def duration_minutes() -> Column:
 
 def time_bucket(hour: Column) -> Column:
     """Time of day of an hour 0-23."""
-    named = F
-    for bucket, (first, last) in TIME_BUCKETS.items():
-        named = named.when(hour.between(first, last), bucket)
-    return named.otherwise(NIGHT)
+    named = [F.when(hour.between(first, last), bucket) for bucket, (first, last) in TIME_BUCKETS.items()]
+    return F.coalesce(*named, F.lit(NIGHT))
 
 
 def calendar_columns(date: Column) -> dict[str, Column]:

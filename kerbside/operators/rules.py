@@ -90,10 +90,7 @@ def clean(trips: DataFrame, min_year: int = MIN_YEAR, as_of_year: int | None = N
 def rejected_by(min_year: int = MIN_YEAR, as_of_year: int | None = None) -> Column:
     """Name of the first rule that a trip fails; NULL if it passes all."""
     rules = {"month": in_source_month(), **cleaning_rules(min_year, as_of_year)}
-    verdict = F
-    for name in RULE_NAMES:
-        verdict = verdict.when(~F.coalesce(rules[name], F.lit(False)), name)
-    return verdict.otherwise(F.lit(None).cast("string"))
+    return F.coalesce(*[F.when(~F.coalesce(rules[name], F.lit(False)), name) for name in RULE_NAMES])
 
 
 def cleaning_report(

@@ -9,8 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions.moments import TRIPS
 from kerbside.operators.aggregates import AGGREGATES, partials, source_accounts
 from kerbside.operators.intake import pending, reset_rows
+from kerbside.operators.joins import lookup_join
 from kerbside.plans.metrics import metric_rows
 from kerbside.plans.store import Store
 from kerbside.schema import MIN_YEAR
@@ -73,10 +75,7 @@ def ingest(store: Store, files: Sequence[Row], as_of: dt.date | None, min_year:
         )
         store.write_states(partials(scan_files(spark, usable), min_year, as_of_year), sources)
         refresh_datasets(store, types)
-        touched = store.states().filter(F.col("taxi_type").isin(types)).join(
-            F.broadcast(sources.select("taxi_type", "source_file")), ["taxi_type", "source_file"], "left_semi"
-        )
-        accounts = {row.source_file: row for row in source_accounts(touched).collect()}
+        accounts = _accounts(store, types, sources, len({file.file_name for file in usable}))
 
     entries = _manifest_entries(usable, unusable, accounts)
     store.append("manifest", _manifest_frame(spark, entries))
@@ -91,6 +90,16 @@ def refresh_datasets(store: Store, types: Sequence[str]) -> None:
         store.write_dataset(name, aggregate(states))
 
 
+def _accounts(store: Store, types: Sequence[str], sources: DataFrame, count: int) -> dict[str, Row]:
+    """Rows read and kept of each source just written; one row per source comes to the driver."""
+    states = store.states().filter(F.col("taxi_type").isin(*types)).select(
+        "taxi_type", "source_file", "source_month", "rejected_by", TRIPS
+    )
+    keys = ["taxi_type", "source_file"]
+    written = lookup_join(states, sources.select(*keys), keys, lookup_rows=count)
+    return {row.source_file: row for row in source_accounts(written).collect()}
+
+
 def _split_sources(files: Sequence[Row]) -> tuple[list[Row], list[Row]]:
     """Files of sound sources, and files of sources with any unreadable file."""
     known = [file for file in files if file.taxi_type is not None]

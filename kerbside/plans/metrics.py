@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.schema import METRIC_BANDS
@@ -25,25 +25,29 @@ def latest_metrics(run_metrics: DataFrame) -> DataFrame:
 
     Each group keeps one running maximum, so the history may be of any length.
     """
-    labelled = run_metrics.withColumn("labels", F.to_json(F.map_from_entries(
-        F.array_sort(F.map_entries(F.coalesce("labels", F.create_map().cast("map<string,string>"))))
-    )))
+    entries = F.map_entries(F.coalesce("labels", F.create_map().cast("map<string,string>")))
+    labelled = run_metrics.withColumn("labels", F.to_json(F.map_from_entries(F.array_sort(entries))))
     newest = labelled.groupBy("job", "metric", "labels").agg(
         F.max(F.struct("ts", "value", "text")).alias("newest")
     )
     return newest.select(
-        "job", "metric", "labels", F.col("newest.ts").alias("ts"), F.col("newest.value").alias("value"),
-        F.col("newest.text").alias("text"), _band(F.col("newest.value")).alias("band"),
+        "job",
+        "metric",
+        "labels",
+        F.col("newest.ts").alias("ts"),
+        F.col("newest.value").alias("value"),
+        F.col("newest.text").alias("text"),
+        _band(F.col("newest.value")).alias("band"),
     )
 
 
-def _band(value):
-    band = F
-    for metric, (green, orange) in METRIC_BANDS.items():
-        here = F.col("metric") == metric
-        band = (
-            band.when(here & (value < green), "green")
-            .when(here & (value < orange), "orange")
-            .when(here & value.isNotNull(), "red")
-        )
-    return band.otherwise(F.lit(None).cast("string"))
+def _band(value: Column) -> Column:
+    return F.coalesce(
+        *[
+            F.when(
+                (F.col("metric") == metric) & value.isNotNull(),
+                F.when(value < green, "green").when(value < orange, "orange").otherwise("red"),
+            )
+            for metric, (green, orange) in METRIC_BANDS.items()
+        ]
+    )

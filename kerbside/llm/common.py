@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.workspace import scratch
@@ -30,6 +30,22 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, name: str, purpose: str) -> DataFrame:
+    """The rows in their present order with a gapless number from 0 in column ``name``.
+
+    The rows are written with their partition and place in it; one count per partition
+    tells where each begins.
+    """
+    placed = stored(frame.withColumn("_place", F.monotonically_increasing_id()), purpose)
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    row = F.col("_place").bitwiseAND((1 << 33) - 1)
+    joined = placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + row)
+    return joined.drop("_part", "_place", "_before")
+
+
 def text_of(column: str | Column = "text") -> Column:
     """A text, empty if null."""
     return F.coalesce(column if isinstance(column, Column) else F.col(column), F.lit(""))

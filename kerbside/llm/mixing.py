@@ -16,9 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from kerbside.llm.common import SPACE_CLASS, stored, text_of
+from kerbside.llm.common import SPACE_CLASS, numbered, stored, text_of
 from kerbside.operators.joins import lookup_join
 
 WEIGHTS = (3, 1, 2)
@@ -39,14 +38,9 @@ def _weighted(sizes: DataFrame, weights: Sequence[float]) -> DataFrame:
     Positions come from a range partition and one count per partition, so that any
     number of sources is fine.
     """
-    n = F.monotonically_increasing_id()
     ordered = sizes.withColumn("no_name", F.col("source").isNull()).repartitionByRange("no_name", "source")
-    placed = stored(ordered.sortWithinPartitions("no_name", "source").withColumn("place", n), "mix-sources")
-    part, row = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
-    counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = placed.withColumn("part", part).join(F.broadcast(counts.select("part", before.alias("before"))), "part")
-    turn = ((F.col("before") + row) % len(weights)).cast("int")
+    ranked = numbered(ordered.sortWithinPartitions("no_name", "source"), "place", "mix-sources")
+    turn = (F.col("place") % len(weights)).cast("int")
     return ranked.select("source", "source_size", F.array(*map(F.lit, map(float, weights)))[turn].alias("weight"))
 
 

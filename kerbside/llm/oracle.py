@@ -31,3 +31,66 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+_HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1))"
+
+ORACLE["op1_warc_index"] = r"""
+WITH t AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)(.*)$', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)(.*)$', 2) AS path
+  FROM pages),
+u AS (
+  SELECT *, strlen(html) AS n,
+    CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+  FROM t)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to,
+  CASE WHEN host <> '' THEN array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path
+    ELSE coalesce(url, '') END AS url_key,
+  strftime(make_timestamp((1704067200 + page_id % 10000000 * 60) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+FROM u
+"""
+
+ORACLE["op3_maxscore_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS cells FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.cells, v.cells)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id),
+r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE["op6_temporal_url_lists"] = f"""
+WITH hosts AS (SELECT page_id, url, {_HOST} AS host FROM pages),
+names AS (SELECT host AS key FROM hosts UNION SELECT regexp_replace(host, '^[^.]+\\.', '') FROM hosts),
+digits AS (
+  SELECT key, ('0x' || md5(key)[1:2])::INTEGER AS d1, ('0x' || md5(key)[3:4])::INTEGER AS since,
+    ('0x' || md5(key)[5:6])::INTEGER + 1 AS days, ('0x' || md5(key)[7:8])::INTEGER AS turn
+  FROM names WHERE key <> ''),
+entries AS (
+  SELECT key, CASE WHEN turn % 5 = 0 THEN 'allow' ELSE 'block' END AS list, turn % 3 AS steps,
+    DATE '2024-01-01' + since AS d0, DATE '2024-01-01' + (since + days) AS d1, DATE '2024-01-01' + (since + 2 * days) AS d2
+  FROM digits WHERE d1 % 3 = 0),
+active AS (
+  SELECT list, key, d0 AS valid_from, CASE WHEN steps >= 1 THEN d1 END AS valid_until FROM entries
+  UNION ALL SELECT list, key, d2, NULL FROM entries WHERE steps = 2),
+fetched AS (
+  SELECT *, make_timestamp((1704067200 + page_id * 600) * 1000000)::DATE AS day, string_split(host, '.') AS labels,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS first
+  FROM hosts),
+keyed AS (
+  SELECT DISTINCT page_id, url, day, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))
+    || CASE WHEN first <> '' THEN [host || '/' || first] ELSE [] END) AS key
+  FROM fetched WHERE host <> ''),
+found AS (
+  SELECT page_id, url, string_agg(list || ':' || key, ' ' ORDER BY list || ':' || key) AS matches,
+    bool_or(list = 'block') AND NOT bool_or(list = 'allow') AS blocked
+  FROM keyed JOIN active USING (key)
+  WHERE valid_from <= day AND (valid_until IS NULL OR day < valid_until) GROUP BY page_id, url)
+SELECT pages.page_id, pages.url, coalesce(blocked, false) AS blocked, coalesce(matches, '') AS matches
+FROM pages LEFT JOIN found USING (page_id, url)
+"""

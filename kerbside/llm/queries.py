@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, line_dedup, mixing, sharding
+from kerbside.llm import exact_dedup, language, line_dedup, mixing, packing, sharding, topk, url_lists, warc
 from kerbside.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,21 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_warc_index(spark, sf):
+    """All pages through archives and the merged capture index."""
+    history = warc.archive_history(table(spark, sf, "pages"))
+    return history.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at"
+    )
+
+
+@query
+def op3_maxscore_topk(spark, sf):
+    """The ten best of all embeddings for each hundredth."""
+    return topk.nearest(table(spark, sf, "embeddings"))
+
+
 @query
 def op4_histogram_sharding(spark, sf):
     """All documents in 16 shards of near equal bytes."""
@@ -33,6 +48,50 @@ def op4_histogram_sharding(spark, sf):
     )
 
 
+@query
+def op5_language_mixture(spark, sf):
+    """All documents with their language, by a model of those not held out."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = language.learn(documents.filter(language.learning_part(F.col("doc_id"))))
+    found = language.identify(documents.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries for hosts and domains of the pages, chosen by digits of a hash.
+
+    About a third of the names are listed from a day in 2024 on; half of those are taken
+    off later, and some of them come back.
+    """
+    name = url_lists.host(F.col("url"))
+    domain = F.regexp_replace(name, r"^[^.]+\.", "")
+    names = pages.select(F.explode(F.array(name, domain)).alias("key")).filter("key != ''").distinct()
+    digit = lambda i: F.conv(F.substring(F.md5("key"), i, 2), 16, 10).cast("int")
+    listed = names.filter(digit(1) % 3 == 0).withColumns({"since": digit(3), "days": digit(5) + 1, "turn": digit(7)})
+    list_ = F.when(F.col("turn") % 5 == 0, "allow").otherwise("block").alias("list")
+    step = F.explode(F.sequence(F.lit(0), F.col("turn") % 3)).alias("step")
+    steps = listed.select("key", list_, "since", "days", step)
+    dated = F.date_add(F.lit("2024-01-01").cast("date"), F.col("since") + F.col("step") * F.col("days"))
+    return steps.select("list", "key", F.when(F.col("step") == 1, "remove").otherwise("add").alias("action"), dated.alias("dated"))
+
+
+@query
+def op6_temporal_url_lists(spark, sf):
+    """All pages, fetched one every ten minutes from 2024 on, against lists of their hosts and domains."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    fetched = F.timestamp_seconds(F.lit(warc.FIRST_CAPTURE) + F.col("page_id") * 600)
+    judged = url_lists.judge(pages.withColumn("fetched_at", fetched), list_entries(pages))
+    return judged.select("page_id", "url", "blocked", "matches")
+
+
+@query
+def op7_best_fit_packing(spark, sf):
+    """All documents in sequences of 512 to 8,192 words."""
+    return packing.pack(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op8_mix_sources(spark, sf):
     """All documents, mixed by source."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, language, line_dedup, mixing, packing, sharding, topk, url_lists, warc
+from kerbside.llm import exact_dedup, jaccard, language, line_dedup, mixing, packing, sharding, topk, url_lists, warc
 from kerbside.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op1_warc_index(spark, sf):
     )
 
 
+@query
+def op2_jaccard_join(spark, sf):
+    """All documents with the component of near duplicates they belong to."""
+    return jaccard.join(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op3_maxscore_topk(spark, sf):
     """The ten best of all embeddings for each hundredth."""

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, mixing
+from kerbside.llm import exact_dedup, jaccard, language, mixing, packing
 from kerbside.llm.common import fill, stored, table
 from kerbside.workspace import scratch
 
@@ -19,6 +19,18 @@ COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "st
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+# A document goes if it has no letters, or if no language has this share of it.
+LEAST_SHARE = 0.5
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; the model learns from those not held out."""
+    docs = fill(docs, COLUMNS)
+    model = language.learn(docs.filter(language.learning_part(F.col("doc_id"))))
+    found = language.identify(docs, model)
+    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*COLUMNS)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact duplicates go; the row that stays is the operator's."""
     path = scratch(spark, "pipeline-copies")
@@ -26,12 +38,36 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.dedupe(spark, path, columns=list(COLUMNS)).filter("kept").select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the document with the smallest id stays.
+
+    A document without id is in no component and stays.
+    """
+    docs = fill(docs, COLUMNS)
+    joined = jaccard.join(docs)
+    gone = stored(
+        joined.filter("doc_id > component_id").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-near-copies"
+    )
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out, so that sources meet their target weights."""
     return mixing.emit(mixing.mix(fill(docs, COLUMNS))).select(*COLUMNS)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", drop_copies), ("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where the pieces of all documents lie in sequences of permitted lengths."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", keep_identified),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
 # Language identification and the draws of the mix are not SQL.
 ORACLE_SQL: str | None = None

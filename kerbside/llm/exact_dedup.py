@@ -110,12 +110,12 @@ def dedupe(
     )
     keepers = hits.filter(F.col("place") == F.col("keep")).select("digest", F.col("content").alias("kept_content"))
     wrong = stored(
-        hits.join(keepers, "digest").filter(F.col("content") != F.col("kept_content")).select("digest").distinct(),
+        hits.join(keepers, "digest").filter(F.col("content") != F.col("kept_content")).select("digest"),
         "dedup-collisions",
     )
     verdict = rows.join(held, "digest", "left")
     if not wrong.isEmpty():  # texts that differ under one digest: their groups go by the content itself
-        anew = hits.join(wrong, "digest").groupBy("digest", "content")
+        anew = hits.join(wrong.distinct(), "digest").groupBy("digest", "content")
         anew = stored(anew.agg(F.min("place").alias("true_keep"), F.count(F.lit(1)).alias("true_copies")), "dedup-anew")
         verdict = verdict.withColumn("content", normalised(F.col("text"))).join(anew, ["digest", "content"], "left")
         verdict = verdict.withColumn("keep", F.coalesce("true_keep", "keep"))

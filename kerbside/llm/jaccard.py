@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from kerbside.llm.common import same, stored, text_of
 from kerbside.llm.prefix_tree import links, needed
 from kerbside.llm.shingles import gram_sets, mixed
+from kerbside.operators.joins import lookup_join
 
 WORDS = 5
 PERCENT = 75
-COMMON = 1 << 20
+COMMON = 1 << 22
 GROUP = 1024
 _COUNTED_AT_ONCE = 1 << 22
 _LISTED_AT_ONCE = 1 << 20
@@ -269,7 +270,8 @@ def _linked(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield _batch(list(zip(*found)), schema)
 
     by = ["gram", "i", "j"]
-    together = groups.join(sets, "class").repartition(*by).sortWithinPartitions(*by, "class")
+    groups = stored(groups, "jaccard-groups")
+    together = lookup_join(sets, groups, ["class"]).repartition(*by).sortWithinPartitions(*by, "class")
     return stored(together.mapInArrow(search, schema), "jaccard-links")
 
 
@@ -370,7 +372,7 @@ def join(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
 def _active_sets(documents: DataFrame, classes: DataFrame, entries: DataFrame, words: int) -> DataFrame:
     """class, grams (the set) of the classes in entries, from the texts of their first documents."""
     active = classes.join(entries.select("class").distinct(), "class").select("first", "class", "s1", "s2")
-    active = stored(active, "jaccard-active")
+    active = stored(active.withColumnRenamed("first", "doc_id"), "jaccard-active")
     schema = "class bigint, grams binary"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,6 +383,6 @@ def _active_sets(documents: DataFrame, classes: DataFrame, entries: DataFrame, w
                 own = [(k[0], s.tobytes()) for k, s in zip(keys[from_:to], sets) if _signature(s)[1:] == k[1:]]
                 yield _batch(list(zip(*own)) if own else [[], []], schema)
 
-    texts = documents.join(active, documents["doc_id"] == active["first"]).select("class", "s1", "s2", "text")
+    texts = lookup_join(documents, active, ["doc_id"]).select("class", "s1", "s2", "text")
     rows = texts.mapInArrow(build, schema)
     return stored(rows.groupBy("class").agg(F.first("grams").alias("grams")), "jaccard-sets")

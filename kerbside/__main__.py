@@ -6,6 +6,8 @@ import argparse
 import datetime as dt
 import sys
 
+from pyspark.sql import DataFrame
+
 from kerbside.plans import ingest, load, models
 from kerbside.plans.metrics import latest_metrics
 from kerbside.plans.store import Store
@@ -40,22 +42,29 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _print(rows: DataFrame) -> None:
+    """All rows, as tab-separated text; they pass through the driver one partition at a time."""
+    print(*rows.columns, sep="\t")
+    for row in rows.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = session(f"kerbside-{args.stage}")
     store = Store(spark, args.store_dir)
     if args.stage == "run":
-        ingest.run(spark, args.raw_dir, args.store_dir, args.as_of, args.force).show(1000, truncate=False)
+        _print(ingest.run(spark, args.raw_dir, args.store_dir, args.as_of, args.force))
     elif args.stage == "stream":
         run_stream(spark, args.raw_dir, args.store_dir, args.checkpoint, args.as_of).awaitTermination()
     elif args.stage == "load":
-        load.load(spark, args.store_dir, force=args.force).show(truncate=False)
+        _print(load.load(spark, args.store_dir, force=args.force))
     elif args.stage == "train-fare":
-        models.train_fare_in_store(store, args.model_dir).metrics_frame(spark).show()
+        _print(models.train_fare_in_store(store, args.model_dir).metrics_frame(spark))
     elif args.stage == "reset":
         load.reset(store, args.only)
     else:
-        latest_metrics(store.log("run_metrics")).orderBy("job", "metric", "labels").show(1000, truncate=False)
+        _print(latest_metrics(store.log("run_metrics")).orderBy("job", "metric", "labels"))
 
 
 if __name__ == "__main__":

@@ -99,8 +99,12 @@ def raw_shape(unified: DataFrame, taxi_type: str) -> DataFrame:
     )
 
 
-def write_raw_files(unified: DataFrame, raw_dir: str) -> None:
-    """Write trips as raw sources, one directory of part files per type and month."""
-    for taxi_type in TAXI_TYPES:
+def write_raw_files(unified: DataFrame, raw_dir: str, replace: bool = False) -> None:
+    """Write trips as raw sources, one directory of part files per type and month.
+
+    ``replace`` writes the folder anew; else more part files are added to it.
+    """
+    for number, taxi_type in enumerate(TAXI_TYPES):
         raw = raw_shape(unified, taxi_type).drop("source_month")
-        raw.write.mode("append").partitionBy("source_file").parquet(raw_dir)
+        mode = "overwrite" if replace and number == 0 else "append"
+        raw.hint("rebalance", "source_file").write.mode(mode).partitionBy("source_file").parquet(raw_dir)

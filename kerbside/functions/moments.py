@@ -4,31 +4,34 @@ A state holds, per measure, the number of values, their sum and (where a
 deviation is asked for) the sum of squared distances to the mean. Sums are kept
 as integers in a fixed unit, because integer addition gives the same result in
 any order: re-run tasks, another partitioning or a month-by-month build all
-yield bit-equal averages. Values too large for the unit, infinities and NaN go
-to a plain floating-point remainder, so nothing is left out.
+yield bit-equal averages. Values are rounded to the unit (a millionth, or a second
+of duration). The sums are decimals of 38 digits: no history is long enough to
+overflow them. Infinities, NaN and single values that 64 bits of units cannot hold
+go to a plain floating-point remainder.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.operators.joins import lookup_join
+
 
 @dataclass(frozen=True)
 class Measure:
     """One averaged column of the trips.
 
-    ``scale`` is the number of units in 1. ``limit`` bounds what the integer sum
-    takes; None means that cleaning already bounds the column. ``spread`` asks
-    for the second moment.
+    ``scale`` is the number of units in 1. ``bounded`` says that cleaning bounds the
+    column, so that it needs no remainder. ``spread`` asks for the second moment.
     """
 
     name: str
     column: str
     scale: float
-    limit: float | None = None
+    bounded: bool = True
     spread: bool = False
 
 
@@ -36,11 +39,13 @@ MEASURES = (
     Measure("duration", "trip_duration_minutes", 60.0, spread=True),  # whole seconds
     Measure("distance", "trip_distance", 1e6, spread=True),
     Measure("fare", "fare_amount", 1e6, spread=True),
-    Measure("total", "total_amount", 1e6, limit=1e6),
-    Measure("passengers", "passenger_count", 1e6, limit=1e6),
+    Measure("total", "total_amount", 1e6, bounded=False),
+    Measure("passengers", "passenger_count", 1e6, bounded=False),
 )
 _BY_NAME = {m.name: m for m in MEASURES}
 TRIPS = "trips"
+UNITS = "decimal(38,0)"
+_MOST_UNITS = 9e18  # units of one value that 64 bits hold
 
 
 def _cnt(m: Measure) -> str:
@@ -63,8 +68,8 @@ def state_columns() -> list[tuple[str, str]]:
     """Names and types of the columns of a state, in order."""
     columns = [(TRIPS, "bigint")]
     for m in MEASURES:
-        columns += [(_cnt(m), "bigint"), (_units(m), "bigint")]
-        if m.limit is not None:
+        columns += [(_cnt(m), "bigint"), (_units(m), UNITS)]
+        if not m.bounded:
             columns.append((_rest(m), "double"))
         if m.spread:
             columns.append((_m2(m), "double"))
@@ -85,13 +90,14 @@ def summarise(trips: DataFrame, keys: list[str], counted: Column | None = None)
     aggregates = [F.count(F.lit(1)).alias(TRIPS)]
     for m in MEASURES:
         value = F.col(m.column) if counted is None else F.when(counted, F.col(m.column))
-        exact = value if m.limit is None else F.when(F.abs(value) < m.limit, value)
+        fits = F.abs(value) < _MOST_UNITS / m.scale
+        exact = value if m.bounded else F.when(fits, value)
         aggregates += [
             F.count(value).alias(_cnt(m)),
-            F.sum(F.rint(exact * m.scale).cast("bigint")).alias(_units(m)),
+            F.sum(F.rint(exact * m.scale).cast("bigint").cast("decimal(19,0)")).cast(UNITS).alias(_units(m)),
         ]
-        if m.limit is not None:
-            aggregates.append(F.sum(F.when(~(F.abs(value) < m.limit), value)).alias(_rest(m)))
+        if not m.bounded:
+            aggregates.append(F.sum(F.when(~fits, value)).alias(_rest(m)))
         if m.spread:
             aggregates.append((F.var_pop(value) * F.count(value)).alias(_m2(m)))
     return trips.groupBy(*keys).agg(*aggregates)
@@ -101,28 +107,36 @@ def merge(states: DataFrame, keys: list[str], spread: bool = False) -> DataFrame
     """Combine states to coarser ``keys``.
 
     The second moment is the sum of the inner ones plus that of the part means
-    around the common mean. The common mean comes from a window over the same
-    keys, so both steps share one shuffle. A window group holds states, never
-    trips: at most one per source, date and hour of a key, however hot it is.
+    around the common mean. The common means, one row per key, come from a first
+    aggregate and are looked up by the states (broadcast if they are few, which is
+    counted). Both aggregates combine in the map tasks, however hot a key is.
     """
     parts = states
     if spread:
-        group = Window.partitionBy(*keys)
-        for m in MEASURES:
-            if m.spread:
-                common = F.sum(_units(m)).over(group) / F.lit(m.scale) / F.sum(_cnt(m)).over(group)
-                shift = F.col(_units(m)) / F.lit(m.scale) / F.col(_cnt(m)) - common
-                between = F.when(F.col(_cnt(m)) > 0, F.col(_cnt(m)) * shift * shift)
-                parts = parts.withColumn(_m2(m), F.col(_m2(m)) + between)
+        moments = [m for m in MEASURES if m.spread]
+        means = states.groupBy(*keys).agg(
+            *[(_whole(F.sum(_units(m)), m) / F.sum(_cnt(m))).alias(f"_{m.name}_mean") for m in moments]
+        )
+        # Kept trips have all keys: none is null.
+        parts = lookup_join(states, means, keys)
+        for m in moments:
+            shift = _whole(F.col(_units(m)), m) / F.col(_cnt(m)) - F.col(f"_{m.name}_mean")
+            between = F.when(F.col(_cnt(m)) > 0, F.col(_cnt(m)) * shift * shift)
+            parts = parts.withColumn(_m2(m), F.col(_m2(m)) + between)
     wanted = [name for name, _ in state_columns() if spread or not name.endswith("_m2")]
-    return parts.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in wanted])
+    kinds = dict(state_columns())
+    return parts.groupBy(*keys).agg(*[F.sum(name).cast(kinds[name]).alias(name) for name in wanted])
+
+
+def _whole(units: Column, m: Measure) -> Column:
+    return units.cast("double") / F.lit(m.scale)
 
 
 def total(name: str) -> Column:
     """Sum of a measure; NULL if it has no value."""
     m = _BY_NAME[name]
-    units = F.col(_units(m)) / F.lit(m.scale)
-    if m.limit is None:
+    units = _whole(F.col(_units(m)), m)
+    if m.bounded:
         return units
     whole = F.coalesce(units, F.lit(0.0)) + F.coalesce(F.col(_rest(m)), F.lit(0.0))
     return F.when(F.col(_cnt(m)) > 0, whole)

@@ -21,6 +21,11 @@ def source_file(path: Column) -> Column:
     return F.regexp_extract(path, _SOURCE_PATTERN, 1)
 
 
+def source_folder(path: Column) -> Column:
+    """What comes before the source's name: folder and name together are the path of the source."""
+    return F.regexp_replace(path, _SOURCE_PATTERN, "")
+
+
 def taxi_type(name: Column) -> Column:
     """Taxi type named by a source; NULL if it names none."""
     return F.nullif(F.regexp_extract(name, TYPE_PATTERN, 1), F.lit(""))

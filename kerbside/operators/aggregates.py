@@ -32,12 +32,24 @@ def partials(trips: DataFrame, min_year: int = MIN_YEAR, as_of_year: int | None
     judged = with_time_features(trips).withColumn("rejected_by", rejected_by(min_year, as_of_year))
     kept = F.col("rejected_by").isNull()
     keyed = judged.withColumns({key: F.when(kept, F.col(key)) for key in FINE_KEYS})
-    return summarise(keyed, [*SOURCE_KEYS, "rejected_by", *FINE_KEYS], counted=kept)
+    return summarise(keyed, [*source_keys(trips), "rejected_by", *FINE_KEYS], counted=kept)
+
+
+def source_keys(frame: DataFrame) -> list[str]:
+    """What tells sources apart: their name and, where files lie in folders, the folder."""
+    return [*SOURCE_KEYS, *(["folder_id"] if "folder_id" in frame.columns else [])]
+
+
+def monthly(states: DataFrame) -> DataFrame:
+    """States per month, zone and hour of day: what the aggregates without a date roll up from."""
+    month = F.date_format("pickup_date", "yyyy-MM")
+    keys = ["taxi_type", "month", "pickup_location_id", "pickup_hour"]
+    return combine(states.withColumn("month", month), keys, spread=True)
 
 
 def kept(states: DataFrame) -> DataFrame:
     """The states of kept trips."""
-    return states.filter(F.col("rejected_by").isNull())
+    return states.filter(F.col("rejected_by").isNull()) if "rejected_by" in states.columns else states
 
 
 def combine(states: DataFrame, keys: list[str], spread: bool = False) -> DataFrame:
@@ -113,7 +125,7 @@ AGGREGATES = {
 
 def source_accounts(states: DataFrame) -> DataFrame:
     """Rows read and rows kept per source, from the stored states."""
-    return states.groupBy(*SOURCE_KEYS).agg(
+    return states.groupBy(*source_keys(states)).agg(
         F.sum(TRIPS).alias("rows_in"),
         F.coalesce(F.sum(F.when(F.col("rejected_by").isNull(), F.col(TRIPS))), F.lit(0)).alias("rows_kept"),
     )

@@ -33,6 +33,14 @@ def in_source_month() -> Column:
     return month.isNull() | F.coalesce((pickup >= start) & (pickup < end), F.lit(False))
 
 
+def month_range(month: dt.date) -> Column:
+    """Pickup lies in the given month; the bounds are constants, so that they reach the files."""
+    after = (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    pickup = F.col("pickup_datetime")
+    start, end = (F.lit(f"{day} 00:00:00").cast("timestamp_ntz") for day in (month, after))
+    return (pickup >= start) & (pickup < end)
+
+
 def _required() -> Column:
     return (
         F.col("pickup_datetime").isNotNull()

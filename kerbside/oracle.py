@@ -117,6 +117,21 @@ flagged AS (
     OR coalesce(z_trip_distance > 1.5, FALSE) AS is_anomaly
   FROM scored)"""
 
+_FARES = f"""
+SELECT * FROM ({_HOURLY}) WHERE taxi_type IN ('yellow', 'green') AND avg_fare > 0 AND avg_fare < 200"""
+
+_HOURLY_KEYS = "pickup_date pickup_hour pickup_location_id taxi_type".split()
+_TIP_KEYS = "pickup_datetime dropoff_datetime pickup_location_id dropoff_location_id taxi_type".split()
+
+
+def _split(rows: str, keys: list[str], label: str) -> str:
+    text = ", ".join(f"CAST({key} AS VARCHAR)" for key in keys)
+    slot = f"CAST('0x' || substr(md5(concat_ws('|', {text}, '42')), 1, 8) AS BIGINT) % 10000"
+    return f"""SELECT CASE WHEN {slot} < 8000 THEN 'train' ELSE 'test' END AS part, COUNT(*) AS rows,
+  round(SUM(CAST({label} AS DOUBLE)), 3) AS label_sum
+FROM {rows} GROUP BY 1"""
+
+
 _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -184,8 +199,8 @@ SELECT d.dataset, t.taxi_type FROM (SELECT DISTINCT taxi_type FROM named) t
 CROSS JOIN (SELECT unnest(['zone_hourly', 'daily_stats', 'zone_time_buckets', 'zone_anomaly_stats']) AS dataset) d
 WHERE t.taxi_type <> 'yellow'""",
     "upsert_daily_stats": f"""{_ALL},
-old AS ({_daily("source_month <= DATE '2023-02-01'")}),
-new AS ({_daily("source_month >= DATE '2023-02-01'")})
+old AS ({_daily("source_month IS NULL OR source_month <= DATE '2023-02-01'")}),
+new AS ({_daily("source_month IS NULL OR source_month >= DATE '2023-02-01'")})
 SELECT pickup_date, taxi_type, coalesce(n.trip_count, o.trip_count) AS trip_count,
   coalesce(n.avg_duration_minutes, o.avg_duration_minutes) AS avg_duration_minutes,
   CASE WHEN n.trip_count IS NOT NULL THEN n.total_passengers ELSE o.total_passengers END AS total_passengers,
@@ -213,8 +228,48 @@ totals AS (
   SELECT taxi_type, CAST(COUNT(*) AS DOUBLE) AS files_processed, CAST(0 AS DOUBLE) AS files_corrupt,
     CAST(SUM(rows_in) AS DOUBLE) AS rows_before, CAST(SUM(rows_kept) AS DOUBLE) AS rows_after
   FROM accounts GROUP BY taxi_type)
-SELECT 'transform' AS job, metric, '{{"taxi_type":"' || taxi_type || '"}}' AS labels, value
-FROM totals UNPIVOT (value FOR metric IN (files_processed, files_corrupt, rows_before, rows_after))""",
+SELECT 'transform' AS job, metric, '{{"taxi_type":"' || taxi_type || '"}}' AS labels, value, CAST(NULL AS VARCHAR) AS text
+FROM totals UNPIVOT (value FOR metric IN (files_processed, files_corrupt, rows_before, rows_after))
+UNION ALL SELECT 'transform', 'status', '{{}}', NULL, 'success'""",
+    "load_metrics": f"""{_ALL},
+loaded AS (
+  {' UNION ALL '.join(
+      f"SELECT '{name}' AS dataset, taxi_type, COUNT(*) AS n FROM ({rows}) GROUP BY taxi_type"
+      for name, rows in (("zone_hourly", _HOURLY), ("daily_stats", _daily()), ("zone_time_buckets", _BUCKETS),
+                         ("zone_anomaly_stats", _STATS))
+  )})
+SELECT 'load' AS job, 'rows_loaded' AS metric,
+  '{{"dataset":"' || dataset || '","taxi_type":"' || taxi_type || '"}}' AS labels, CAST(n AS DOUBLE) AS value,
+  CAST(NULL AS VARCHAR) AS text
+FROM loaded
+UNION ALL SELECT 'load', 'failures', '{{}}', 0, NULL
+UNION ALL SELECT 'load', 'status', '{{}}', NULL, 'success'""",
+    "late_parts": _ALL + _daily(),
+    "reprocessed_daily_stats": _ALL + _daily("day(pickup_datetime) % 2 = 0"),
+    "fare_split": f"""{_ALL}, rows_ AS ({_FARES})
+{_split("rows_", _HOURLY_KEYS, "avg_fare")}""",
+    "demand_split": f"""{_ALL}, rows_ AS ({_HOURLY})
+{_split("rows_", _HOURLY_KEYS, "trip_count")}""",
+    "tip_split": f"""{_ALL}, rows_ AS (
+  SELECT *, CAST(tip_amount > 0 AS DOUBLE) AS tipped FROM clean
+  WHERE taxi_type IN ('yellow', 'green') AND tip_amount IS NOT NULL AND payment_type IS NOT NULL)
+{_split("rows_", _TIP_KEYS, "tipped")}""",
+    "model_status": f"""{_ALL}, rows_ AS ({_FARES}), parts AS ({_split("rows_", _HOURLY_KEYS, "avg_fare")})
+SELECT 'model_fare' AS job, part || 'ing_rows' AS metric, '{{}}' AS labels, CAST("rows" AS DOUBLE) AS value,
+  CAST(NULL AS VARCHAR) AS text
+FROM parts WHERE part = 'train'
+UNION ALL SELECT 'model_fare', part || '_rows', '{{}}', "rows", NULL FROM parts WHERE part = 'test'
+UNION ALL SELECT 'model_fare', 'status', '{{}}', NULL, 'ready'""",
+    "demand_actuals": f"""{_ALL}
+SELECT pickup_location_id, CAST(SUM(trip_count) AS BIGINT) AS actual_trips, COUNT(*) AS hours
+FROM ({_HOURLY}) GROUP BY pickup_location_id""",
+    "cluster_input": f"""{_ALL},
+whole AS (
+  SELECT fare_amount, trip_duration_minutes, trip_distance FROM clean
+  WHERE fare_amount IS NOT NULL AND trip_duration_minutes IS NOT NULL AND trip_distance IS NOT NULL)
+{' UNION ALL '.join(
+    f"SELECT '{c}' AS feature, COUNT(*) AS rows, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS deviation FROM whole"
+    for c in ("fare_amount", "trip_duration_minutes", "trip_distance"))}""",
     "served_daily_stats": _ALL + _daily(),
     "fare_training_set": f"""{_ALL} SELECT * FROM ({_HOURLY})
 WHERE taxi_type IN ('yellow', 'green') AND avg_fare > 0 AND avg_fare < 200""",

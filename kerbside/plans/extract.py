@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.plans.store import Store
 from kerbside.schema import TAXI_TYPES
 from kerbside.sources.coverage import coverage, outcome_rollup
-from kerbside.sources.listing import check_files, raw_inventory
+from kerbside.sources.listing import check_files, list_files, raw_inventory, with_source
 
 JOB = "extract"
 
@@ -25,16 +25,24 @@ def fetch_list(
 
 
 def record_extract(store: Store, raw_dir: str, outcomes: DataFrame, already_present: int = 0) -> None:
-    """Append the metrics of a fetch: files and seconds per outcome, files and bytes on disk.
+    """Append the metrics of a fetch: files and seconds per outcome and in all,
+    files and bytes on disk per type, bytes per source, and the time of the run.
 
     ``outcomes`` has one row per attempt (url, file_name, outcome, seconds).
     """
     attempts = outcome_rollup(outcomes, already_present)
-    on_disk = raw_inventory(check_files(store.spark, raw_dir))
+    on_disk = raw_inventory(with_source(list_files(store.spark, raw_dir)))
     rows = _metric(attempts, "files", "outcome").unionByName(_metric(attempts, "seconds", "outcome"))
     rows = rows.unionByName(_metric(on_disk, "files_on_disk", "taxi_type", "files"))
     rows = rows.unionByName(_metric(on_disk, "bytes_on_disk", "taxi_type", "bytes"))
-    store.append("run_metrics", rows)
+    whole = outcomes.agg(F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("total_seconds")).withColumns(
+        {"last_run_timestamp": F.unix_timestamp().cast("double"), "none": F.lit(None).cast("string")}
+    )
+    for metric in ("total_seconds", "last_run_timestamp"):
+        rows = rows.unionByName(_metric(whole, metric, "none").withColumn("labels", F.lit(None).cast("map<string,string>")))
+    sizes = with_source(list_files(store.spark, raw_dir)).filter("taxi_type IS NOT NULL")
+    sizes = sizes.groupBy("file_name").agg(F.sum("length").alias("file_bytes"))
+    store.append("run_metrics", rows.unionByName(_metric(sizes, "file_bytes", "file_name")))
 
 
 def _metric(rows: DataFrame, metric: str, label: str, column: str | None = None) -> DataFrame:

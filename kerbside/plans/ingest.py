@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.moments import TRIPS
-from kerbside.operators.aggregates import AGGREGATES, partials, source_accounts
-from kerbside.operators.intake import pending, reset_rows
+from kerbside.operators.aggregates import AGGREGATES, monthly, partials, source_accounts
+from kerbside.operators.intake import SETTLED, pending, reset_rows
 from kerbside.operators.joins import lookup_join
 from kerbside.plans.metrics import metric_rows
-from kerbside.plans.store import Store
+from kerbside.plans.store import Store, dated
 from kerbside.schema import MIN_YEAR
 from kerbside.sources.listing import list_files, probe_files, with_source
-from kerbside.sources.raw import scan_files
+from kerbside.sources.raw import folder_id, scan_sources, source_rows
 
 JOB = "transform"
 
@@ -48,104 +48,147 @@ def ingest_listed(
     Only pending files are opened for the integrity check.
     """
     todo = pending(with_source(listing), store.log("manifest")).select(*listing.columns)
-    return ingest(store, with_source(probe_files(todo)).collect(), as_of, min_year)
+    files = with_source(probe_files(todo))
+    return ingest(store, source_rows(files).collect(), files, as_of, min_year)
 
 
-def ingest(store: Store, files: Sequence[Row], as_of: dt.date | None, min_year: int = MIN_YEAR) -> DataFrame:
-    """Process probed files: states, then datasets, then the manifest.
+def ingest(
+    store: Store, sources: Sequence[Row], files: DataFrame, as_of: dt.date | None, min_year: int = MIN_YEAR
+) -> DataFrame:
+    """Process sources, given as ``source_rows`` of probed files: states, then datasets,
+    then the manifest.
 
-    The manifest row comes last. A crash anywhere before leaves the files pending,
-    and the next run replaces whatever this one wrote. Only file-level facts (one
-    row per raw file) pass through the driver.
+    The manifest row comes last. A crash anywhere before leaves the sources pending,
+    and the next run replaces whatever this one wrote. Only source-level facts (one
+    row per source and layout) pass through the driver.
     """
     started = time.time()
     spark = store.spark
-    usable, unusable = _split_sources(files)
-    if not usable and not unusable:
-        store.append("run_metrics", metric_rows(spark, JOB, [("idle", {}, 1, None)]))
+    usable, unusable = _split_sources(sources)
+    if not sources:
+        store.append("run_metrics", metric_rows(spark, JOB, [("idle", {}, 1, None), _last_run()]))
         return store.log("manifest").limit(0)
 
-    accounts: dict[str, Row] = {}
-    types = sorted({file.taxi_type for file in usable})
-    if usable:
-        as_of_year = as_of.year if as_of else None
-        sources = spark.createDataFrame(
-            sorted({(f.taxi_type, f.file_name, f.source_month) for f in usable}, key=str),
-            "taxi_type string, source_file string, source_month date",
-        )
-        store.write_states(partials(scan_files(spark, usable), min_year, as_of_year), sources)
-        refresh_datasets(store, types)
-        accounts = _accounts(store, types, sources, len({file.file_name for file in usable}))
+    accounts: dict[tuple, Row] = {}
+    seconds: dict[str, float] = {}
+    for taxi_type in sorted({row.taxi_type for row in usable}):
+        began = time.time()
+        own = [row for row in usable if row.taxi_type == taxi_type]
+        named = spark.createDataFrame(
+            sorted({(taxi_type, row.file_name, row.source_month, row.source_folder) for row in own}, key=str),
+            "taxi_type string, source_file string, source_month date, source_folder string",
+        ).select("taxi_type", "source_file", "source_month", "source_folder", folder_id().alias("folder_id"))
+        trips = scan_sources(spark, own, files, skip_damage=True)
+        store.write_states(partials(trips, min_year, as_of.year if as_of else None), named.drop("source_folder"))
+        refresh_datasets(store, [taxi_type], _months_of(own))
+        accounts |= _accounts(store, taxi_type, named)
+        seconds[taxi_type] = time.time() - began
 
     entries = _manifest_entries(usable, unusable, accounts)
     store.append("manifest", _manifest_frame(spark, entries))
-    store.append("run_metrics", metric_rows(spark, JOB, _run_metrics(entries, time.time() - started)))
+    store.append("run_metrics", metric_rows(spark, JOB, _run_metrics(entries, time.time() - started, seconds)))
     return _manifest_frame(spark, entries)
 
 
-def refresh_datasets(store: Store, types: Sequence[str]) -> None:
-    """Roll the datasets of the given taxi types up from their states."""
-    states = store.states().filter(F.col("taxi_type").isin(*types))
+def _months_of(sources: Sequence[Row]) -> list[dt.date] | None:
+    """Months whose trips these sources can hold; None for all: an undated one may hold any."""
+    months = {row.source_month for row in sources}
+    return None if None in months else sorted(months)
+
+
+def refresh_datasets(store: Store, types: Sequence[str], months: Sequence[dt.date] | None = None) -> None:
+    """Roll the given months of taxi types up from their states (all months by default).
+
+    Dated datasets and the monthly states are replaced month by month; the datasets
+    without a date follow from the monthly states.
+    """
+    kind = F.col("taxi_type").isin(*types)
+    states = store.states().filter(kind)
+    present = states.select("taxi_type", F.date_format("pickup_date", "yyyy-MM").alias("month"))
+    if months is None:
+        touched = present.filter("month IS NOT NULL").union(store.months(types)).distinct()
+    else:
+        names = [f"{month:%Y-%m}" for month in months]
+        # Only these sources and the undated ones can hold trips of these months.
+        states = states.filter(F.col("source_month").isNull() | F.col("source_month").isin(*months))
+        states = states.filter(F.date_format("pickup_date", "yyyy-MM").isin(*names))
+        each = F.explode(F.array(*map(F.lit, names))).alias("month")
+        touched = store.spark.createDataFrame([(t,) for t in types], "taxi_type string").select("taxi_type", each)
+    # A row per type and month: kept, since the plans below would read the states for it again.
+    touched = store.spark.createDataFrame(touched.collect(), "taxi_type string, month string")
+    store.write_monthly(monthly(states), touched)
+    rolled = store.monthly().filter(kind)
+    every = store.spark.createDataFrame([(t, None) for t in types], "taxi_type string, month string")
     for name, aggregate in AGGREGATES.items():
-        store.write_dataset(name, aggregate(states))
+        store.write_dataset(name, aggregate(states if dated(name) else rolled), touched if dated(name) else every)
 
 
-def _accounts(store: Store, types: Sequence[str], sources: DataFrame, count: int) -> dict[str, Row]:
+def _accounts(store: Store, taxi_type: str, sources: DataFrame) -> dict[tuple, Row]:
     """Rows read and kept of each source just written; one row per source comes to the driver."""
-    states = store.states().filter(F.col("taxi_type").isin(*types)).select(
-        "taxi_type", "source_file", "source_month", "rejected_by", TRIPS
-    )
-    keys = ["taxi_type", "source_file"]
-    written = lookup_join(states, sources.select(*keys), keys, lookup_rows=count)
-    return {row.source_file: row for row in source_accounts(written).collect()}
-
-
-def _split_sources(files: Sequence[Row]) -> tuple[list[Row], list[Row]]:
-    """Files of sound sources, and files of sources with any unreadable file."""
-    known = [file for file in files if file.taxi_type is not None]
-    broken = {file.file_name for file in known if not file.is_valid}
-    return (
-        [file for file in known if file.file_name not in broken],
-        [file for file in known if file.file_name in broken],
+    states = store.states().filter(F.col("taxi_type") == taxi_type).select(
+        "source_file", "source_month", "folder_id", "taxi_type", "rejected_by", TRIPS
     )
+    rows = source_accounts(states)
+    found = lookup_join(rows, sources.select("source_file", "folder_id", "source_folder"), ["source_file", "folder_id"])
+    return {(row.source_folder, row.source_file): row for row in found.collect()}
+
+
+def _split_sources(sources: Sequence[Row]) -> tuple[list[Row], list[Row]]:
+    """Rows of sound sources, and those of sources that are of no known type or have a damaged file."""
+    broken = {(row.source_folder, row.file_name) for row in sources if row.layout is None}
+    sound = [row for row in sources if (row.source_folder, row.file_name) not in broken]
+    return sound, [row for row in sources if (row.source_folder, row.file_name) in broken]
 
 
-def _manifest_entries(usable: Sequence[Row], unusable: Sequence[Row], accounts: dict[str, Row]) -> list[tuple]:
+def _manifest_entries(
+    usable: Sequence[Row], unusable: Sequence[Row], accounts: dict[tuple, Row]
+) -> list[tuple]:
     """One entry per source.
 
     ``done`` means that every row promised by the footers was read; a source that
     lost rows to damage inside a file is ``partial`` and stays pending, as does a
-    ``corrupt`` one.
+    ``corrupt`` one. A name that tells no taxi type is ``skipped``.
     """
+    by_source: dict[tuple, list[Row]] = {}
+    for row in (*usable, *unusable):
+        by_source.setdefault((row.source_folder, row.file_name), []).append(row)
     entries = []
-    for group, sound in ((usable, True), (unusable, False)):
-        by_source: dict[str, list[Row]] = {}
-        for file in group:
-            by_source.setdefault(file.file_name, []).append(file)
-        for name, parts in sorted(by_source.items()):
-            length = sum(part.length for part in parts)
-            if sound:
-                account = accounts[name]
-                expected = sum(part.row_count for part in parts)
-                status = "done" if account.rows_in == expected else "partial"
-                counts = (account.rows_in, account.rows_kept)
-            else:
-                status, counts = "corrupt", (None, None)
-            entries.append((JOB, name, parts[0].taxi_type, parts[0].source_month, length, status, *counts))
+    for (folder, name), rows in sorted(by_source.items(), key=lambda item: (item[0][1], item[0][0])):
+        counts = (None, None)
+        if rows[0].taxi_type is None:
+            status = "skipped"
+        elif any(row.layout is None for row in rows):
+            status = "corrupt"
+        else:
+            account = accounts[folder, name]
+            status = "done" if account.rows_in == sum(row.row_count for row in rows) else "partial"
+            counts = (account.rows_in, account.rows_kept)
+        length, parts = sum(row.length for row in rows), sum(row.parts for row in rows)
+        newest = max(row.newest for row in rows)
+        entries.append(
+            (JOB, name, rows[0].taxi_type, rows[0].source_month, length, status, *counts, folder, parts, newest)
+        )
     return entries
 
 
 def _manifest_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:
     schema = (
         "stage string, file_name string, taxi_type string, source_month date, "
-        "length bigint, status string, rows_in bigint, rows_kept bigint"
+        "length bigint, status string, rows_in bigint, rows_kept bigint, source_folder string, parts bigint, "
+        "newest timestamp"
     )
     return spark.createDataFrame(entries, schema).withColumn("committed_at", F.current_timestamp())
 
 
-def _run_metrics(entries: list[tuple], seconds: float) -> list[tuple]:
-    totals: dict[str, dict[str, int]] = {}
-    for _, _, taxi_type, _, _, status, rows_in, rows_kept in entries:
+def _last_run() -> tuple:
+    return ("last_run_timestamp", {}, time.time(), None)
+
+
+def _run_metrics(entries: list[tuple], seconds: float, by_type: dict[str, float]) -> list[tuple]:
+    totals: dict[str, dict[str, float]] = {}
+    for _, _, taxi_type, _, _, status, rows_in, rows_kept, *_ in entries:
+        if status == "skipped":
+            continue
         total = totals.setdefault(
             taxi_type, {"files_processed": 0, "files_corrupt": 0, "rows_before": 0, "rows_after": 0}
         )
@@ -157,8 +200,9 @@ def _run_metrics(entries: list[tuple], seconds: float) -> list[tuple]:
         for taxi_type, total in sorted(totals.items())
         for name, value in total.items()
     ]
-    failed = any(entry[5] != "done" for entry in entries)
-    metrics.append(("duration_seconds", {}, seconds, None))
+    metrics += [("duration_seconds", {"taxi_type": t}, value, None) for t, value in sorted(by_type.items())]
+    failed = any(entry[5] not in SETTLED for entry in entries)
+    metrics += [("duration_seconds", {}, seconds, None), _last_run()]
     metrics.append(("status", {}, None, "incomplete" if failed else "success"))
     if not failed:
         metrics.append(("last_success_timestamp", {}, time.time(), None))

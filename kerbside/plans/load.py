@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.intake import reset_rows
-from kerbside.operators.keyed import conform, dedupe_last, nan_to_null, upsert
+from kerbside.operators.keyed import conform, dedupe_last, nan_to_null
 from kerbside.plans.metrics import metric_rows
 from kerbside.plans.store import Store
 from kerbside.schema import DATASETS, PRIMARY_KEYS
@@ -33,7 +33,7 @@ def load(
     only: Sequence[tuple[str, str]] | None = None,
     force: bool = False,
 ) -> DataFrame:
-    """Upsert changed dataset partitions into the serving tables.
+    """Bring changed dataset partitions into the serving tables.
 
     ``only`` restricts to some (dataset, taxi_type) pairs; ``force`` loads pairs
     that have not changed, too. Returns the load log rows of this run.
@@ -49,13 +49,16 @@ def load(
         if row.dataset in DATASETS and (only is None or (row.dataset, row.taxi_type) in only):
             pairs.setdefault(row.dataset, {})[row.taxi_type] = row.mtime
 
-    entries = []
+    entries, seconds = [], {}
     for dataset, times in sorted(pairs.items()):
+        began = time.time()
         entries += _load_dataset(store, dataset, times)
+        # The types of a dataset load in one job, and share its time.
+        seconds |= {(dataset, taxi_type): (time.time() - began) / len(times) for taxi_type in times}
     log = _log_frame(spark, entries)
     if entries:
         store.append("load_log", log)
-    store.append("run_metrics", metric_rows(spark, JOB, _run_metrics(entries, time.time() - started)))
+    store.append("run_metrics", metric_rows(spark, JOB, _run_metrics(entries, time.time() - started, seconds)))
     return log
 
 
@@ -96,15 +99,14 @@ def _load_dataset(store: Store, dataset: str, times: dict[str, object]) -> list[
 
 
 def _upsert_types(store: Store, dataset: str, types: list[str]) -> dict[str, int]:
-    keys = PRIMARY_KEYS[dataset]
+    """A dataset holds all rows of a type, so that they replace those served: keys that are
+    gone from it are gone from the table."""
     rows = store.dataset(dataset).filter(F.col("taxi_type").isin(*types))
     # Datasets that this library wrote are unique by key; of copies that others
     # added, the row of the newest file counts.
     versioned = rows.withColumn("_written", F.col("_metadata.file_modification_time"))
-    incoming = nan_to_null(conform(dedupe_last(versioned, keys, "_written"), DATASETS[dataset]))
-    store.replace_serving(dataset, upsert(store.serving(dataset), incoming, keys))
-    counts = incoming.groupBy("taxi_type").agg(F.count(F.lit(1)).alias("rows")).collect()
-    return {row.taxi_type: row["rows"] for row in counts}
+    incoming = dedupe_last(versioned, PRIMARY_KEYS[dataset], "_written")
+    return store.replace_serving(dataset, nan_to_null(conform(incoming, DATASETS[dataset])), types)
 
 
 def _log_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:
@@ -112,14 +114,19 @@ def _log_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:
     return spark.createDataFrame(entries, schema).withColumn("loaded_at", F.current_timestamp())
 
 
-def _run_metrics(entries: list[tuple], seconds: float) -> list[tuple]:
+def _run_metrics(entries: list[tuple], seconds: float, by_pair: dict[tuple, float]) -> list[tuple]:
     metrics = [
         ("rows_loaded", {"dataset": dataset, "taxi_type": taxi_type}, rows, None)
         for dataset, taxi_type, _, rows, status in entries
         if status == "loaded"
     ]
+    metrics += [
+        ("duration_seconds", {"dataset": dataset, "taxi_type": taxi_type}, value, None)
+        for (dataset, taxi_type), value in sorted(by_pair.items())
+    ]
     failures = sum(1 for entry in entries if entry[4] == "failed")
     metrics += [("failures", {}, failures, None), ("duration_seconds", {}, seconds, None)]
+    metrics.append(("last_run_timestamp", {}, time.time(), None))
     metrics.append(("status", {}, None, "incomplete" if failures else "success" if entries else "idle"))
     if not failures:
         metrics.append(("last_success_timestamp", {}, time.time(), None))

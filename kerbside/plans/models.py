@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,7 @@ _WORKING_COLUMNS = (
     "taxi_type_idx", "payment_idx", "payment_kind", "features_raw", "features", "rawPrediction", "probability",
 )
 ZONE_FEATURES = ("pickup_location_id", "pickup_hour", "pickup_dow", "pickup_month")
+TIP_KEYS = ("pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "taxi_type")
 CLUSTER_FEATURES = ("fare_amount", "trip_duration_minutes", "trip_distance")
 
 
@@ -49,11 +52,17 @@ def hash_split(
     A row's part depends on the row alone: not on partitioning, task order or a
     retried task, so repeated runs train on the same rows.
     """
-    slot = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10_000))
-    first = slot < round(share * 10_000)
+    first = in_training(keys, share, seed)
     return df.filter(first), df.filter(~first)
 
 
+def in_training(keys: Sequence[str], share: float = TRAIN_SHARE, seed: int = SPLIT_SEED) -> Column:
+    """Whether a row is for training: the leading 32 bits of the MD5 of its keys, written as text."""
+    text = F.concat_ws("|", *[F.col(key).cast("string") for key in keys], F.lit(str(seed)))
+    slot = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
+    return slot < round(share * 10_000)
+
+
 # -- regressions on the hourly table ------------------------------------------
 
 
@@ -75,16 +84,21 @@ def train_demand(zone_hourly: DataFrame, model_path: str | None = None) -> Fitte
     return _train_regression(zone_hourly, "trip_count", model_path)
 
 
+def _scaled(inputs: Sequence[str]) -> list:
+    """Stages from input columns to features of mean 0 and deviation 1."""
+    return [
+        VectorAssembler(inputCols=list(inputs), outputCol="features_raw", handleInvalid="skip"),
+        StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
+    ]
+
+
 def _train_regression(
     rows: DataFrame, label: str, model_path: str | None, weight_col: str | None = None
 ) -> Fitted:
     settings = dict(REGRESSION, **({"weightCol": weight_col} if weight_col else {}))
     stages = [
         StringIndexer(inputCol="taxi_type", outputCol="taxi_type_idx", handleInvalid="keep"),
-        VectorAssembler(
-            inputCols=[*ZONE_FEATURES, "taxi_type_idx"], outputCol="features_raw", handleInvalid="skip"
-        ),
-        StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
+        *_scaled([*ZONE_FEATURES, "taxi_type_idx"]),
         LinearRegression(featuresCol="features", labelCol=label, **settings),
     ]
     columns = dict.fromkeys([*PRIMARY_KEYS["zone_hourly"], *ZONE_FEATURES, label, *([weight_col] if weight_col else [])])
@@ -115,7 +129,7 @@ def _regression_error(predictions: DataFrame, label: str) -> dict[str, float]:
 
 def train_fare_in_store(store: Store, model_path: str) -> Fitted:
     """Train the fare model on the stored hourly table, with status and metrics in the log."""
-    spark, job = store.spark, "model_fare"
+    spark, job, started = store.spark, "model_fare", time.time()
     store.append("run_metrics", metric_rows(spark, job, [("status", {}, None, "training")]))
     try:
         fitted = train_fare(store.dataset("zone_hourly"), model_path)
@@ -123,6 +137,7 @@ def train_fare_in_store(store: Store, model_path: str) -> Fitted:
         store.append("run_metrics", metric_rows(spark, job, [("status", {}, None, "failed")]))
         raise
     values = [(name, {}, value, None) for name, value in fitted.metrics.items()]
+    values += [("training_seconds", {}, time.time() - started, None), ("last_trained_timestamp", {}, time.time(), None)]
     store.append("run_metrics", metric_rows(spark, job, [*values, ("status", {}, None, "ready")]))
     return fitted
 
@@ -147,24 +162,32 @@ def tip_training_set(trips: DataFrame, types: Sequence[str] = FARE_TYPES) -> Dat
 
 
 def train_tip(trips: DataFrame, model_path: str | None = None, max_iter: int = 50) -> Fitted:
-    """Logistic regression of paying a tip on fare, zone, time and kind of payment."""
-    rows = tip_training_set(trips)
-    keys = ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "fare_amount"]
-    train, test = hash_split(rows, keys)
+    """Logistic regression of paying a tip on fare, zone, time and kind of payment.
+
+    Trips that the model cannot tell apart become one row with their number as weight;
+    those rows are computed once.
+    """
     inputs = ["fare_amount", *ZONE_FEATURES, "payment_kind"]
+    alike = ["fare_amount", *ZONE_FEATURES, "payment_type", "tipped"]
+    rows = tip_training_set(trips).withColumn("training", in_training(TIP_KEYS))
+    rows = rows.groupBy(*alike, "training").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     stages = [
         StringIndexer(inputCol="payment_type", outputCol="payment_idx", handleInvalid="keep"),
         OneHotEncoder(inputCol="payment_idx", outputCol="payment_kind"),
-        VectorAssembler(inputCols=inputs, outputCol="features_raw", handleInvalid="skip"),
-        StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-        LogisticRegression(featuresCol="features", labelCol="tipped", maxIter=max_iter),
+        *_scaled(inputs),
+        LogisticRegression(featuresCol="features", labelCol="tipped", weightCol="weight", maxIter=max_iter),
     ]
-    model = Pipeline(stages=stages).fit(train)
-    predictions = model.transform(test)
-    right = (F.col("prediction") == F.col("tipped")).cast("double")
-    counts = predictions.agg(F.count(F.lit(1)).alias("test_rows"), F.avg(right).alias("accuracy")).first()
-    metrics = {name: value for name, value in counts.asDict().items() if value is not None}
-    metrics["area_under_roc"] = BinaryClassificationEvaluator(labelCol="tipped").evaluate(predictions)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=stages).fit(rows.filter("training"))
+        predictions = model.transform(rows.filter("NOT training"))
+        right = F.sum(F.when(F.col("prediction") == F.col("tipped"), F.col("weight")).otherwise(0.0))
+        counts = predictions.agg(F.sum("weight").alias("test_rows"), (right / F.sum("weight")).alias("accuracy")).first()
+        metrics = {name: value for name, value in counts.asDict().items() if value is not None}
+        evaluator = BinaryClassificationEvaluator(labelCol="tipped", weightCol="weight")
+        metrics["area_under_roc"] = evaluator.evaluate(predictions)
+    finally:
+        rows.unpersist()
     if model_path:
         model.write().overwrite().save(model_path)
     return Fitted(model, metrics)
@@ -181,9 +204,11 @@ class TripClusters:
     limit: float
 
     def flag(self, trips: DataFrame) -> DataFrame:
-        """Cluster, distance to its centre and anomaly flag of trips with all features."""
+        """Cluster, distance to its centre and anomaly flag of each trip; a trip that lacks a
+        feature is in no cluster and not flagged."""
         placed = _place(self.model, trips)
-        return placed.withColumn("is_anomaly", F.col("centre_distance") > F.lit(self.limit))
+        beyond = F.col("centre_distance") > F.lit(self.limit)
+        return placed.withColumn("is_anomaly", F.coalesce(beyond, F.lit(False)))
 
 
 def train_clusters(
@@ -196,32 +221,63 @@ def train_clusters(
 ) -> TripClusters:
     """Cluster clean trips by fare, duration and distance, each scaled to unit deviation.
 
-    The limit is the ``cut`` quantile of all distances to the assigned centre.
+    Equal trips become one row with their number as weight; those rows are computed once
+    and serve the scaling, the clusters and the limit, which is the ``cut`` quantile of
+    all distances to the assigned centre.
     """
-    stages = [
-        VectorAssembler(inputCols=list(CLUSTER_FEATURES), outputCol="features_raw", handleInvalid="skip"),
-        StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-        KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed, maxIter=max_iter),
-    ]
-    features = trips.select(*CLUSTER_FEATURES)
-    model = Pipeline(stages=stages).fit(features)
+    rows = trips.dropna(subset=list(CLUSTER_FEATURES)).groupBy(*CLUSTER_FEATURES)
+    rows = rows.agg(F.count(F.lit(1)).cast("double").alias("weight")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stages = [
+            _cluster_scaling(rows),
+            VectorAssembler(inputCols=[f"{c}_scaled" for c in CLUSTER_FEATURES], outputCol="features"),
+            KMeans(predictionCol="cluster", weightCol="weight", k=k, seed=seed, maxIter=max_iter),
+        ]
+        model = Pipeline(stages=stages).fit(rows)
+        each = F.explode(F.sequence(F.lit(1), F.col("weight").cast("int"))).alias("copy")
+        distances = _place(model, rows).select("centre_distance", each)
+        limit = distances.agg(F.percentile_approx("centre_distance", cut, 10_000)).first()[0]
+    finally:
+        rows.unpersist()
     if model_path:
         model.write().overwrite().save(model_path)
-    distances = _place(model, features)
-    limit = distances.agg(F.percentile_approx("centre_distance", cut, 10_000)).first()[0]
     return TripClusters(model, limit)
 
 
+def cluster_moments(rows: DataFrame) -> dict[str, tuple[float, float]]:
+    """Mean and sample deviation of the cluster features of weighted rows."""
+    weight = F.col("weight")
+    names = CLUSTER_FEATURES
+    first = rows.agg(F.sum(weight), *[F.sum(weight * F.col(c)) / F.sum(weight) for c in names]).first()
+    squares = [F.sum(weight * F.pow(F.col(c) - F.lit(mean), F.lit(2))) for c, mean in zip(names, first[1:])]
+    second = rows.agg(*squares).first()
+    n = first[0] or 0.0
+    return {c: (m, math.sqrt(q / (n - 1)) if n > 1 else 0.0) for c, m, q in zip(names, first[1:], second)}
+
+
+def _cluster_scaling(rows: DataFrame) -> SQLTransformer:
+    """Scales to mean 0 and deviation 1; a missing feature counts as average."""
+    scaled = [
+        f"(coalesce({c}, {mean!r}D) - {mean!r}D) / {deviation or 1.0!r}D AS {c}_scaled"
+        for c, (mean, deviation) in cluster_moments(rows).items()
+    ]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
+
 def cluster_trips(trips: DataFrame, **settings) -> DataFrame:
     """Cluster clean trips and flag those far from their centre."""
     return train_clusters(trips, **settings).flag(trips)
 
 
 def _place(model: PipelineModel, trips: DataFrame) -> DataFrame:
-    """Trips with their cluster and centre distance; those that lack a feature stay out."""
-    placed = model.transform(trips.dropna(subset=list(CLUSTER_FEATURES)))
+    """Trips with their cluster and centre distance, NULL for those that lack a feature."""
+    placed = model.transform(trips)
+    whole = F.lit(True)
+    for name in CLUSTER_FEATURES:
+        whole = whole & F.col(name).isNotNull()
     distance = _centre_distance(model.stages[-1].clusterCenters())
-    return placed.withColumn("centre_distance", distance).drop("features_raw", "features")
+    placed = placed.withColumns({"cluster": F.when(whole, F.col("cluster")), "centre_distance": F.when(whole, distance)})
+    return placed.drop("features", *[f"{c}_scaled" for c in CLUSTER_FEATURES])
 
 
 def _centre_distance(centres: Sequence[Sequence[float]]) -> Column:
@@ -236,14 +292,18 @@ def _centre_distance(centres: Sequence[Sequence[float]]) -> Column:
     return F.sqrt(sum(squares[1:], squares[0]))
 
 
-def zscore_flags(trips: DataFrame, stats: DataFrame, threshold: float = 3.0) -> DataFrame:
+def zscore_flags(
+    trips: DataFrame, stats: DataFrame, threshold: float = 3.0, stats_rows: int | None = None
+) -> DataFrame:
     """Clean trips with the z-scores of fare, duration and distance within their zone and
     type; flagged if any exceeds ``threshold``. No deviation, or none to compare: no flag.
+
+    ``stats`` should be the stored table of zone statistics: one row per zone and type.
+    They are counted before they are looked up, unless ``stats_rows`` tells their number.
     """
     keys = PRIMARY_KEYS["zone_anomaly_stats"]
-    # One row per zone and type; kept, so that counting and joining compute it once.
-    stats = stats.drop("trip_count").persist(StorageLevel.MEMORY_AND_DISK)
-    joined = lookup_join(trips, stats, keys, "left")
+    stats = stats.drop("trip_count")
+    joined = lookup_join(trips, stats, keys, "left", lookup_rows=stats_rows)
     scores = {}
     for column in CLUSTER_FEATURES:
         spread = F.col(f"stddev_{column}")

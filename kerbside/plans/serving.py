@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.moments import TRIPS, mean, total
 from kerbside.operators.aggregates import combine
-from kerbside.schema import NIGHT, PRIMARY_KEYS, SPLIT_SEED, TIME_BUCKETS
+from kerbside.schema import NIGHT, SPLIT_SEED, TIME_BUCKETS
+from kerbside.workspace import written
 
 BUCKETS = (*TIME_BUCKETS, NIGHT)
 
@@ -72,19 +73,12 @@ def anomalies_in_zone(flagged: DataFrame, zone: int) -> DataFrame:
     return flagged.filter((F.col("pickup_location_id") == zone) & F.col("is_anomaly"))
 
 
-def demand_vs_actual(forecast: DataFrame, zone_hourly: DataFrame) -> DataFrame:
-    """Predicted and actual trips per zone, over the hours that both sides know."""
-    keys = list(PRIMARY_KEYS["zone_hourly"])
-    actual = zone_hourly.select(*keys, "trip_count")
-    return (
-        forecast.select(*keys, "prediction")
-        .join(actual, keys)
-        .groupBy("pickup_location_id")
-        .agg(
-            F.sum("trip_count").alias("actual_trips"),
-            F.sum("prediction").alias("predicted_trips"),
-            F.count(F.lit(1)).alias("hours"),
-        )
+def demand_vs_actual(forecast: DataFrame) -> DataFrame:
+    """Predicted and actual trips per zone, of hourly rows with both."""
+    return forecast.groupBy("pickup_location_id").agg(
+        F.sum("trip_count").alias("actual_trips"),
+        F.sum("prediction").alias("predicted_trips"),
+        F.count(F.lit(1)).alias("hours"),
     )
 
 
@@ -103,7 +97,8 @@ def hotspot_profiles(zone_time_buckets: DataFrame) -> DataFrame:
 
 def hotspots(zone_time_buckets: DataFrame, k: int = 4, seed: int = SPLIT_SEED) -> DataFrame:
     """Zones clustered by their profile over the day."""
-    profiles = hotspot_profiles(zone_time_buckets)
+    # One row per zone, for the fit and for its use.
+    profiles = written(hotspot_profiles(zone_time_buckets), "hotspots")
     inputs = [f"{bucket}_share" for bucket in BUCKETS]
     stages = [
         VectorAssembler(inputCols=inputs, outputCol="features"),

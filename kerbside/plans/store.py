@@ -2,27 +2,33 @@
 
 Layout below the root folder::
 
-    states/taxi_type=…/source_file=…/    partial states, one partition per raw source
-    datasets/{name}/taxi_type=…/         the four aggregates
-    serving/{name}/slot=a|b/             keyed serving tables, two alternating copies
+    states/taxi_type=…/source_file=…/folder_id=…/     partial states, one partition per raw source
+    monthly/taxi_type=…/month=…/                      states per month, zone and hour
+    datasets/{name}/taxi_type=…/month=…/              the four aggregates (month=all if undated)
+    serving/{name}/version=…/taxi_type=…/             keyed serving tables, a version per load
     log/{manifest,load_log,serving_log,run_metrics}/
 
-A raw source owns its state partition, so that processing it again replaces it.
+A raw source owns its state partition, so that processing it again replaces it. A
+partition that has lost all rows holds a marker, so that it is replaced as well.
 Logs are only ever appended to. One driver writes at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.functions.moments import state_columns
+from kerbside.functions.moments import TRIPS, UNITS, state_columns
 from kerbside.operators.keyed import conform
 from kerbside.schema import DATASETS, LOAD_LOG, MANIFEST, RUN_METRICS, SERVING_LOG
 from kerbside.sources.processed import read_or_empty
 
-_TYPES = {"bigint": T.LongType(), "double": T.DoubleType()}
+ALL_MONTHS = "all"
+_TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), UNITS: T.DecimalType(38, 0)}
+_MEASURES = [T.StructField(name, _TYPES[kind]) for name, kind in state_columns()]
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("source_month", T.DateType()),
@@ -30,9 +36,19 @@ STATE_SCHEMA = T.StructType(
         T.StructField("pickup_date", T.DateType()),
         T.StructField("pickup_hour", T.IntegerType()),
         T.StructField("pickup_location_id", T.LongType()),
-        *[T.StructField(name, _TYPES[kind]) for name, kind in state_columns()],
+        *_MEASURES,
         T.StructField("taxi_type", T.StringType()),
         T.StructField("source_file", T.StringType()),
+        T.StructField("folder_id", T.StringType()),
+    ]
+)
+MONTHLY_SCHEMA = T.StructType(
+    [
+        T.StructField("pickup_location_id", T.LongType()),
+        T.StructField("pickup_hour", T.IntegerType()),
+        *_MEASURES,
+        T.StructField("taxi_type", T.StringType()),
+        T.StructField("month", T.StringType()),
     ]
 )
 LOGS = {
@@ -67,17 +83,42 @@ class Store:
             markers = sources.withColumns({"rejected_by": F.lit("marker"), **zeros})
             rows = rows.unionByName(markers, allowMissingColumns=True)
         self._overwrite_partitions(
-            conform(rows, STATE_SCHEMA), f"{self.root}/states", "taxi_type", "source_file"
+            conform(rows, STATE_SCHEMA), f"{self.root}/states", "taxi_type", "source_file", "folder_id"
         )
 
+    def monthly(self) -> DataFrame:
+        table = read_or_empty(self.spark, f"{self.root}/monthly", MONTHLY_SCHEMA)
+        return table.filter(F.col(TRIPS).isNotNull())
+
+    def write_monthly(self, rows: DataFrame, partitions: DataFrame) -> None:
+        """Replace the given (taxi_type, month) partitions of the monthly states."""
+        self._replace(conform(rows, MONTHLY_SCHEMA), "monthly", partitions)
+
     # -- aggregate datasets --------------------------------------------------
 
     def dataset(self, name: str) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.root}/datasets/{name}", _last(DATASETS[name], "taxi_type"))
+        return self._dataset_partitions(name).filter("trip_count IS NOT NULL").drop("month")
+
+    def _dataset_partitions(self, name: str) -> DataFrame:
+        schema = T.StructType([*_last(DATASETS[name], "taxi_type").fields, T.StructField("month", T.StringType())])
+        return read_or_empty(self.spark, f"{self.root}/datasets/{name}", schema)
+
+    def months(self, types: Sequence[str]) -> DataFrame:
+        """The (taxi_type, month) partitions of the monthly states, by their folders alone."""
+        table = read_or_empty(self.spark, f"{self.root}/monthly", MONTHLY_SCHEMA)
+        return table.filter(F.col("taxi_type").isin(*types)).select("taxi_type", "month").distinct()
+
+    def write_dataset(self, name: str, rows: DataFrame, partitions: DataFrame) -> None:
+        """Replace the given (taxi_type, month) partitions of a dataset by ``rows``."""
+        month = F.date_format("pickup_date", "yyyy-MM") if dated(name) else F.lit(ALL_MONTHS)
+        if not dated(name):
+            partitions = partitions.select("taxi_type", F.lit(ALL_MONTHS).alias("month")).distinct()
+        self._replace(rows.withColumn("month", month), f"datasets/{name}", partitions)
 
-    def write_dataset(self, name: str, rows: DataFrame) -> None:
-        """Replace the partitions of the taxi types in ``rows``."""
-        self._overwrite_partitions(rows, f"{self.root}/datasets/{name}", "taxi_type")
+    def _replace(self, rows: DataFrame, folder: str, partitions: DataFrame) -> None:
+        """A marker row, without values, makes sure that each partition is written."""
+        both = rows.unionByName(partitions.select("taxi_type", "month"), allowMissingColumns=True)
+        self._overwrite_partitions(both, f"{self.root}/{folder}", "taxi_type", "month")
 
     def _overwrite_partitions(self, rows: DataFrame, path: str, *columns: str) -> None:
         # REBALANCE gathers the rows of a partition in few tasks, hence few files,
@@ -93,34 +134,54 @@ class Store:
     # -- serving tables ------------------------------------------------------
 
     def serving(self, name: str) -> DataFrame:
-        """The committed copy of a serving table."""
-        slot = self._serving_state(name)[1]
-        if slot is None:
+        """The committed rows of a serving table: of each taxi type its current version."""
+        paths = [
+            f"{self._serving_path(name, row.version)}/taxi_type={row.taxi_type}"
+            for row in self._current(name)
+            if row["rows"]
+        ]
+        if not paths:
             return self.spark.createDataFrame([], DATASETS[name])
-        return self.spark.read.schema(DATASETS[name]).parquet(f"{self.root}/serving/{name}/slot={slot}")
+        schema = T.StructType([*_last(DATASETS[name], "taxi_type").fields, T.StructField("version", T.LongType())])
+        table = self.spark.read.schema(schema).option("basePath", f"{self.root}/serving/{name}").parquet(*paths)
+        return table.select(*DATASETS[name].fieldNames())
 
-    def replace_serving(self, name: str, rows: DataFrame) -> None:
-        """Write the copy that is not in use, then commit it with one log row.
+    def replace_serving(self, name: str, rows: DataFrame, types: Sequence[str]) -> dict[str, int]:
+        """Write a new version of the given types and commit it with a log row each.
 
-        ``rows`` may read the copy in use. A crash before the log row leaves that
-        copy in force and intact.
+        Other types are not touched. A crash before the log rows leaves the versions in
+        force as they are. What was superseded before this load is removed after it; the
+        version superseded by it stays for those who still read it. Returns rows by type.
         """
-        version, slot = self._serving_state(name)
-        target = "b" if slot == "a" else "a"
-        rows.write.mode("overwrite").parquet(f"{self.root}/serving/{name}/slot={target}")
-        entry = self.spark.createDataFrame(
-            [(name, version + 1, target)], "dataset string, version bigint, slot string"
-        )
-        self.append("serving_log", entry.withColumn("committed_at", F.current_timestamp()))
-
-    def _serving_state(self, name: str) -> tuple[int, str | None]:
-        newest = (
-            self.log("serving_log")
-            .filter(F.col("dataset") == name)
-            .agg(F.max("version").alias("version"), F.max_by("slot", "version").alias("slot"))
-            .first()
-        )
-        return newest.version or 0, newest.slot
+        current = self._current(name)
+        version = 1 + max((row.version for row in current), default=0)
+        path = self._serving_path(name, version)
+        rows.write.mode("overwrite").partitionBy("taxi_type").parquet(path)
+        # Counted in the footers of what was written: the rows are computed once.
+        written = read_or_empty(self.spark, path, _last(DATASETS[name], "taxi_type"))
+        found = {t: 0 for t in types} | {row.taxi_type: row["count"] for row in written.groupBy("taxi_type").count().collect()}
+        entries = [(name, t, version, found[t]) for t in types]
+        schema = "dataset string, taxi_type string, version bigint, rows bigint"
+        log = self.spark.createDataFrame(entries, schema)
+        self.append("serving_log", log.withColumn("committed_at", F.current_timestamp()))
+        self._remove_versions(name, {row.version for row in current} | {version})
+        return found
+
+    def _remove_versions(self, name: str, keep: set[int]) -> None:
+        """Remove committed versions other than these."""
+        known = self.log("serving_log").filter(F.col("dataset") == name).select("version").distinct()
+        for row in known.filter(~F.col("version").isin(*keep)).collect():
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._serving_path(name, row.version))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _serving_path(self, name: str, version: int) -> str:
+        return f"{self.root}/serving/{name}/version={version}"
+
+    def _current(self, name: str) -> list[Row]:
+        """The newest version of each taxi type."""
+        log = self.log("serving_log").filter(F.col("dataset") == name)
+        newest = log.groupBy("taxi_type").agg(F.max(F.struct("version", "rows")).alias("newest"))
+        return newest.select("taxi_type", "newest.*").collect()
 
     # -- logs ----------------------------------------------------------------
 
@@ -132,6 +193,11 @@ class Store:
         conform(rows, LOGS[name]).coalesce(1).write.mode("append").parquet(f"{self.root}/log/{name}")
 
 
+def dated(name: str) -> bool:
+    """Whether the rows of a dataset carry a date."""
+    return "pickup_date" in DATASETS[name].fieldNames()
+
+
 def _last(schema: T.StructType, column: str) -> T.StructType:
     """The schema with its partition column at the end, where Spark reads it."""
     fields = [f for f in schema.fields if f.name != column]

@@ -25,8 +25,8 @@ from kerbside.sources import coverage as cov
 from kerbside.sources.listing import check_files, raw_inventory
 from kerbside.sources.processed import changed
 from kerbside.sources.raw import scan_raw
-from kerbside.streaming.intake import stream_states
-from kerbside.workspace import scratch
+from kerbside.streaming.intake import run_stream
+from kerbside.workspace import scratch, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,7 +101,9 @@ def time_features(spark, sf):
 
 @query
 def month_validation(spark, sf):
-    return rules.validate_month(_trips(spark, sf)).select(*TRIP_SCHEMA.fieldNames(), *SOURCE)
+    """Raw files of which only the month in the name is read."""
+    trips = scan_raw(spark, _raw_dir(spark, sf), only_source_month=True)
+    return trips.select(*TRIP_SCHEMA.fieldNames(), *SOURCE)
 
 
 @query
@@ -175,14 +177,12 @@ def stored_zone_anomaly_stats(spark, sf):
 
 @query
 def stream_file_once(spark, sf):
-    """Two runs of the stream over the same file; the second finds nothing new."""
-    store = Store(spark, scratch(spark, "stream-store"))
-    checkpoint = scratch(spark, "stream-checkpoint")
-    schema = fixtures.lineitem(spark, sf).schema
+    """Two runs of the stream over the same raw files; the second finds nothing new."""
+    store_dir, checkpoint = scratch(spark, "stream-store"), scratch(spark, "stream-checkpoint")
+    raw_dir = _raw_dir(spark, sf)
     for _ in range(2):
-        rows = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
-        stream_states(fixtures.trips_from(rows), store.root, checkpoint, AS_OF.year).awaitTermination()
-    return agg.daily_stats(store.states())
+        run_stream(spark, raw_dir, store_dir, checkpoint, AS_OF).awaitTermination()
+    return Store(spark, store_dir).dataset("daily_stats")
 
 
 # -- raw files and bookkeeping --------------------------------------------------------------
@@ -285,10 +285,10 @@ def changed_partitions(spark, sf):
 
 @query
 def upsert_daily_stats(spark, sf):
-    """January and February first; then February and March, without the fare column."""
+    """January, February and undated trips first; then all but those of January, without the fare column."""
     trips, month = _clean(spark, sf), F.col("source_month")
-    target = agg.daily_stats(trips.filter(month <= FEB))
-    incoming = agg.daily_stats(trips.filter(month >= FEB)).drop("avg_fare")
+    target = agg.daily_stats(trips.filter(month.isNull() | (month <= FEB)))
+    incoming = agg.daily_stats(trips.filter(month.isNull() | (month >= FEB))).drop("avg_fare")
     return keyed.upsert(target, incoming, PRIMARY_KEYS["daily_stats"])
 
 
@@ -336,11 +336,49 @@ def ingest_manifest(spark, sf):
 
 @query
 def ingest_metrics(spark, sf):
-    """Raw files through the batch ingest; the metrics it logs per type."""
+    """Raw files through the batch ingest; the metrics it logs, but for times."""
     store_dir = scratch(spark, "store")
     ingest.run(spark, _raw_dir(spark, sf), store_dir, AS_OF)
-    latest = metrics.latest_metrics(Store(spark, store_dir).log("run_metrics"))
-    return latest.filter(F.col("labels") != "{}").select("job", "metric", "labels", "value")
+    return _latest_without_times(Store(spark, store_dir))
+
+
+def _latest_without_times(store: Store) -> DataFrame:
+    latest = metrics.latest_metrics(store.log("run_metrics"))
+    return latest.filter(~F.col("metric").rlike("seconds$|timestamp$")).select("job", "metric", "labels", "value", "text")
+
+
+@query
+def load_metrics(spark, sf):
+    """Stored trips through a load; the metrics it logs, but for times."""
+    store = Store(spark, scratch(spark, "store"))
+    store.write_states(_states(spark, sf))
+    ingest.refresh_datasets(store, TAXI_TYPES)
+    load.load(spark, store.root)
+    return _latest_without_times(store)
+
+
+@query
+def late_parts(spark, sf):
+    """Sources that get more after they were processed: a part file, and a file of the same name elsewhere."""
+    store_dir, raw_dir = scratch(spark, "store"), scratch(spark, "raw")
+    third = F.minute("pickup_datetime") % 3
+    for number, folder in enumerate((raw_dir, raw_dir, f"{raw_dir}/more")):
+        fixtures.write_raw_files(_trips(spark, sf).filter(third == number), folder)
+        if number != 1:
+            ingest.run(spark, raw_dir, store_dir, AS_OF)
+    return Store(spark, store_dir).dataset("daily_stats")
+
+
+@query
+def reprocessed_daily_stats(spark, sf):
+    """Sources that lose every other day after they were processed and served."""
+    store_dir, raw_dir = scratch(spark, "store"), scratch(spark, "raw")
+    even = F.dayofmonth("pickup_datetime") % 2 == 0
+    for trips in (_trips(spark, sf), _trips(spark, sf).filter(even)):
+        fixtures.write_raw_files(trips, raw_dir, replace=True)
+        ingest.run(spark, raw_dir, store_dir, AS_OF)
+        load.load(spark, store_dir, only=[("daily_stats", t) for t in TAXI_TYPES])
+    return Store(spark, store_dir).serving("daily_stats")
 
 
 @query
@@ -363,18 +401,66 @@ def fare_training_set(spark, sf):
 @query
 def fare_model_metrics(spark, sf):
     hourly = agg.zone_hourly(_clean(spark, sf))
-    return models.train_fare(hourly, scratch(spark, "model-fare")).metrics_frame(spark)
+    return models.train_fare(hourly).metrics_frame(spark)
+
+
+def _split_report(rows: DataFrame, keys, label: str) -> DataFrame:
+    part = F.when(models.in_training(keys), "train").otherwise("test").alias("part")
+    return rows.groupBy(part).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.col(label).cast("double")), 3).alias("label_sum")
+    )
+
+
+@query
+def fare_split(spark, sf):
+    """What the fare model learns from and is tested on."""
+    return _split_report(
+        models.fare_training_set(agg.zone_hourly(_clean(spark, sf))), PRIMARY_KEYS["zone_hourly"], "avg_fare"
+    )
+
+
+@query
+def demand_split(spark, sf):
+    """What the demand model learns from and is tested on."""
+    return _split_report(agg.zone_hourly(_clean(spark, sf)), PRIMARY_KEYS["zone_hourly"], "trip_count")
+
+
+@query
+def tip_split(spark, sf):
+    """What the tip model learns from and is tested on."""
+    return _split_report(models.tip_training_set(_clean(spark, sf)), models.TIP_KEYS, "tipped")
+
+
+@query
+def cluster_input(spark, sf):
+    """Trips that are clustered, and the scaling of their features."""
+    trips = _clean(spark, sf).dropna(subset=list(models.CLUSTER_FEATURES))
+    rows = trips.groupBy(*models.CLUSTER_FEATURES).agg(F.count(F.lit(1)).alias("weight"))
+    found = models.cluster_moments(rows)
+    total = rows.agg(F.sum("weight")).first()[0]
+    named = [(name, total, round(mean, 6), round(deviation, 6)) for name, (mean, deviation) in found.items()]
+    return spark.createDataFrame(named, "feature string, rows bigint, mean double, deviation double")
+
+
+@query
+def model_status(spark, sf):
+    """The fare model trained on the stored hourly table; what the log says, but for errors and times."""
+    store = Store(spark, scratch(spark, "store"))
+    store.write_states(_states(spark, sf))
+    ingest.refresh_datasets(store, TAXI_TYPES)
+    models.train_fare_in_store(store, scratch(spark, "model-fare"))
+    return _latest_without_times(store).filter(F.col("metric").isin("status", "training_rows", "test_rows"))
 
 
 @query
 def fare_scores(spark, sf):
-    """The saved and reloaded fare model, asked for each zone and hour of green trips."""
+    """The saved and reloaded fare model, asked for each zone and hour of all types."""
     from pyspark.ml import PipelineModel
 
     hourly = agg.zone_hourly(_clean(spark, sf))
     path = scratch(spark, "model-fare")
     models.train_fare(hourly, path)
-    requests = hourly.filter(F.col("taxi_type") == "green").select(*models.ZONE_FEATURES, "taxi_type").distinct()
+    requests = hourly.select(*models.ZONE_FEATURES, "taxi_type").distinct()
     return models.score(PipelineModel.load(path), requests)
 
 
@@ -386,9 +472,15 @@ def demand_forecast(spark, sf):
 
 @query
 def demand_vs_actual(spark, sf):
-    hourly = agg.zone_hourly(_clean(spark, sf))
+    hourly = written(agg.zone_hourly(_clean(spark, sf)), "hourly")
     forecast = models.score(models.train_demand(hourly).model, hourly)
-    return serving.demand_vs_actual(forecast, hourly)
+    return serving.demand_vs_actual(forecast)
+
+
+@query
+def demand_actuals(spark, sf):
+    """Trips and hours per zone, as compared with the forecast."""
+    return demand_vs_actual(spark, sf).select("pickup_location_id", "actual_trips", "hours")
 
 
 @query
@@ -412,15 +504,18 @@ def trip_clusters(spark, sf):
 
 @query
 def zscore_anomalies(spark, sf):
+    return serving.anomalies_by_zone(_flagged(spark, sf))
+
+
+def _flagged(spark: SparkSession, sf: str) -> DataFrame:
     trips = _clean(spark, sf)
-    flagged = models.zscore_flags(trips, agg.zone_anomaly_stats(trips), ZSCORE_THRESHOLD)
-    return serving.anomalies_by_zone(flagged)
+    stats = written(agg.zone_anomaly_stats(trips), "zone-stats")
+    return models.zscore_flags(trips, stats, ZSCORE_THRESHOLD)
 
 
 @query
 def zscore_drilldown(spark, sf):
-    trips = _clean(spark, sf)
-    flagged = models.zscore_flags(trips, agg.zone_anomaly_stats(trips), ZSCORE_THRESHOLD)
+    flagged = _flagged(spark, sf)
     return serving.anomalies_in_zone(flagged, CHECKED_ZONES[0]).select(
         *TRIP_SCHEMA.fieldNames(), *[F.round(c, 4).alias(c) for c in flagged.columns if c.startswith("z_")]
     )

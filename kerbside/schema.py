@@ -189,6 +189,9 @@ MANIFEST = _struct(
     rows_in=_LONG,
     rows_kept=_LONG,
     committed_at=_INSTANT,
+    source_folder=_STRING,
+    parts=_LONG,
+    newest=_INSTANT,
 )
 LOAD_LOG = _struct(
     dataset=_STRING,
@@ -198,7 +201,7 @@ LOAD_LOG = _struct(
     status=_STRING,
     loaded_at=_INSTANT,
 )
-SERVING_LOG = _struct(dataset=_STRING, version=_LONG, slot=_STRING, committed_at=_INSTANT)
+SERVING_LOG = _struct(dataset=_STRING, taxi_type=_STRING, version=_LONG, rows=_LONG, committed_at=_INSTANT)
 RUN_METRICS = _struct(
     job=_STRING,
     metric=_STRING,

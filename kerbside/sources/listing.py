@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.names import source_file, source_month, taxi_type
+from kerbside.functions.names import source_file, source_folder, source_month, taxi_type
 from kerbside.schema import PARQUET_MAGIC
 
 _PROBE_SCHEMA = (
@@ -16,16 +16,26 @@ _PROBE_SCHEMA = (
 )
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, URI, length and modification time of all Parquet files below ``root``."""
+# The names that Arrow has for file systems of Spark.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def list_files(spark: SparkSession, *roots: str) -> DataFrame:
+    """Path, URI, length and modification time of all Parquet files below the roots."""
     return select_listing(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(list(roots))
     )
 
 
+def arrow_uri(path: str) -> str:
+    """The path as Arrow calls it."""
+    scheme, found, rest = path.partition("://")
+    return f"{_SCHEMES.get(scheme, scheme)}{found}{rest}" if found else path
+
+
 def select_listing(files: DataFrame) -> DataFrame:
     """The listing columns of a binary-file source.
 
@@ -45,34 +55,37 @@ def probe_files(listing: DataFrame) -> DataFrame:
 
     Tasks read the first and last bytes and the footer of each file, wherever it
     lies: a plain path, or any file system that Arrow knows. A file is valid if
-    both ends carry the format's magic bytes and the footer can be parsed.
+    both ends carry the format's magic bytes and the footer can be parsed. A file
+    that cannot be reached says nothing about its integrity: that is an error.
     """
     magic = PARQUET_MAGIC
 
     def probe(batches: Iterator) -> Iterator:
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
         def look(path: str) -> tuple:
+            if path.startswith("file:"):
+                system, inner = pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+            else:
+                system, inner = pafs.FileSystem.from_uri(arrow_uri(path))
+            with system.open_input_file(inner) as handle:
+                size = handle.size()
+                if size < 2 * len(magic) + 4:
+                    return False, None, None
+                head, tail = handle.read_at(len(magic), 0), handle.read_at(len(magic) + 4, size - len(magic) - 4)
+                length = int.from_bytes(tail[:4], "little")
+                if head != magic or tail[4:] != magic or length > size - 2 * len(magic) - 4:
+                    return False, None, None
+                footer = handle.read_at(length, size - len(tail) - length)
             try:
-                if path.startswith("file:"):
-                    system, inner = pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-                else:
-                    system, inner = pafs.FileSystem.from_uri(path)
-                with system.open_input_file(inner) as handle:
-                    size = handle.size()
-                    if size < 2 * len(magic):
-                        return False, None, None
-                    head = handle.read_at(len(magic), 0)
-                    tail = handle.read_at(len(magic), size - len(magic))
-                    if head != magic or tail != magic:
-                        return False, None, None
-                    parquet = pq.ParquetFile(handle)
-                    columns = [{"name": f.name, "type": str(f.type)} for f in parquet.schema_arrow]
-                    return True, parquet.metadata.num_rows, columns
-            except Exception:  # any file that cannot be read counts as invalid
+                parquet = pq.ParquetFile(pa.BufferReader(magic + footer + tail))
+                columns = [{"name": f.name, "type": str(f.type)} for f in parquet.schema_arrow]
+            except (pa.ArrowException, OSError):  # all bytes are here: the footer itself is damaged
                 return False, None, None
+            return True, parquet.metadata.num_rows, columns
 
         for batch in batches:
             seen = [look(path) for path in batch["path"]]
@@ -85,8 +98,9 @@ def probe_files(listing: DataFrame) -> DataFrame:
 
 
 def with_source(files: DataFrame) -> DataFrame:
-    """Add source name, taxi type and month, as the path tells them."""
-    named = files.withColumn("file_name", source_file(F.col("path")))
+    """Add source name and folder, taxi type and month, as the path tells them."""
+    path = F.col("path")
+    named = files.withColumns({"file_name": source_file(path), "source_folder": source_folder(path)})
     name = F.col("file_name")
     return named.withColumns({"taxi_type": taxi_type(name), "source_month": source_month(name)})
 

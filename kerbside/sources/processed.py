@@ -21,9 +21,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def partition_times(files: DataFrame) -> DataFrame:
     """Newest modification time per dataset and taxi type, from a listing of data files.
 
-    A data file lies in ``{dataset}/taxi_type={type}/``; no file is opened.
+    A data file lies in ``{dataset}/taxi_type={type}/``, below a month or not; no file is opened.
     """
-    pattern = r"([^/]+)/taxi_type=([^/]+)/[^/]+$"
+    pattern = r"([^/]+)/taxi_type=([^/]+)/(?:month=[^/]+/)?[^/]+$"
     return (
         files.select(
             F.regexp_extract("path", pattern, 1).alias("dataset"),

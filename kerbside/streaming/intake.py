@@ -5,14 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbside.operators.aggregates import partials
 from kerbside.plans.ingest import ingest_listed
 from kerbside.plans.store import Store
-from kerbside.schema import MIN_YEAR
-from kerbside.sources.listing import select_listing
+from kerbside.sources.listing import list_files, select_listing, with_source
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -28,9 +25,11 @@ def run_stream(
     """Ingest all raw files not seen before, then stop.
 
     The stream carries files, not rows: months of different types and layouts
-    cannot share one streaming schema. Each micro-batch hands its listing to the
-    batch ingest. Its writes replace what an interrupted batch left, so that a
-    repeated batch changes nothing.
+    cannot share one streaming schema. Each micro-batch lists the sources of its
+    files anew and whole, and hands them to the batch ingest, so that a source whose
+    files fall in several batches is complete after each. Its writes and manifest rows
+    replace what an interrupted batch left, and several streams may feed one store,
+    one after the other.
     """
     listing = select_listing(
         spark.readStream.format("binaryFile")
@@ -42,7 +41,11 @@ def run_stream(
     )
 
     def ingest_batch(batch: DataFrame, _: int) -> None:
-        ingest_listed(Store(batch.sparkSession, store_dir), batch, as_of)
+        # At most one row per file of the batch.
+        rows = with_source(batch).select("source_folder", "file_name").distinct().collect()
+        if rows:
+            sources = list_files(batch.sparkSession, *sorted(row.source_folder + row.file_name for row in rows))
+            ingest_listed(Store(batch.sparkSession, store_dir), sources, as_of)
 
     return (
         listing.writeStream.foreachBatch(ingest_batch)
@@ -50,28 +53,3 @@ def run_stream(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def stream_states(
-    trips: DataFrame,
-    store_dir: str,
-    checkpoint: str,
-    as_of_year: int | None = None,
-    min_year: int = MIN_YEAR,
-) -> StreamingQuery:
-    """Ingest a stream of unified trips (with source_file and source_month), then stop.
-
-    Each micro-batch is stored as states of its own under the batch number, since
-    one source may reach over several batches. States merge on read.
-    """
-    def store_batch(batch: DataFrame, number: int) -> None:
-        store = Store(batch.sparkSession, store_dir)
-        stamped = batch.withColumn("source_file", F.format_string("batch%d-%s", F.lit(number), "source_file"))
-        store.write_states(partials(stamped, min_year, as_of_year))
-
-    return (
-        trips.writeStream.foreachBatch(store_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "kerbside", **settings: str) -> SparkSession:
@@ -39,5 +39,12 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """A small frame written to a scratch folder and read back, so that it is computed once."""
+    path = scratch(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="kerbside-")

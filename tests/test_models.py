@@ -87,7 +87,9 @@ def test_tip_model(clean):
 
 def test_clusters_flag_the_farthest(clean):
     flagged = models.cluster_trips(clean, k=3, cut=0.9)
-    rows = flagged.select("cluster", "centre_distance", "is_anomaly").collect()
+    assert flagged.count() == clean.count()
+    assert flagged.filter("cluster IS NULL AND (is_anomaly OR centre_distance IS NOT NULL)").count() == 0
+    rows = flagged.filter("cluster IS NOT NULL").select("cluster", "centre_distance", "is_anomaly").collect()
     assert len(rows) == clean.dropna(subset=list(models.CLUSTER_FEATURES)).count()
     assert {r.cluster for r in rows} == {0, 1, 2}
     far = [r.centre_distance for r in rows if r.is_anomaly]
@@ -96,6 +98,31 @@ def test_clusters_flag_the_farthest(clean):
     assert 0.08 < len(far) / len(rows) < 0.12
 
 
+def test_weighted_rows_scale_like_trips(clean):
+    """Mean and deviation of distinct rows with weights are those of all trips."""
+    column = F.floor("trip_distance")
+    trips = clean.withColumns({c: F.floor(c).cast("double") for c in models.CLUSTER_FEATURES}).dropna(
+        subset=list(models.CLUSTER_FEATURES)
+    )
+    rows = trips.groupBy(*models.CLUSTER_FEATURES).agg(F.count(F.lit(1)).alias("weight"))
+    assert rows.select(column).count() < trips.count()
+    for name, (mean, deviation) in models.cluster_moments(rows).items():
+        plain = trips.agg(F.avg(name), F.stddev(name)).first()
+        assert (mean, deviation) == pytest.approx(tuple(plain))
+
+
+def test_models_beat_a_constant(hourly, clean):
+    """The demand model's error is below that of the mean; the tip model guesses better than the larger class."""
+    fitted = models.train_demand(hourly)
+    train, test = models.hash_split(hourly, models.PRIMARY_KEYS["zone_hourly"])
+    mean = train.agg(F.avg("trip_count")).first()[0]
+    constant = test.agg(F.sqrt(F.avg(F.pow(F.col("trip_count") - F.lit(mean), F.lit(2))))).first()[0]
+    assert fitted.metrics["rmse"] <= constant * 1.02
+    rows = models.tip_training_set(clean)
+    share = rows.filter(~models.in_training(models.TIP_KEYS)).agg(F.avg("tipped")).first()[0]
+    assert models.train_tip(clean).metrics["accuracy"] >= max(share, 1 - share) - 0.05
+
+
 def test_zscores_against_plain_arithmetic(clean):
     stats = agg.zone_anomaly_stats(clean)
     flagged = models.zscore_flags(clean, stats, 1.5)
@@ -130,7 +157,7 @@ def test_single_trip_zone_is_never_flagged(trips):
 
 def test_demand_against_actual(hourly):
     forecast = models.score(models.train_demand(hourly).model, hourly)
-    rows = serving.demand_vs_actual(forecast, hourly).collect()
+    rows = serving.demand_vs_actual(forecast).collect()
     actual = hourly.groupBy("pickup_location_id").agg(F.sum("trip_count").alias("n")).collect()
     assert {r.pickup_location_id: r.actual_trips for r in rows} == {r.pickup_location_id: r.n for r in actual}
 

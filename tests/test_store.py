@@ -12,7 +12,7 @@ from kerbside.operators import rules
 from kerbside.plans import ingest, load
 from kerbside.plans.metrics import latest_metrics, metric_rows
 from kerbside.plans.store import Store
-from kerbside.schema import DATASETS, TAXI_TYPES
+from kerbside.schema import DATASETS
 from kerbside.streaming.intake import run_stream
 from test_sources import yellow_table
 
@@ -113,6 +113,7 @@ def test_corrupt_and_empty_sources(spark, tmp_path, raw_tables):
     assert statuses(ingest.run(spark, str(raw), store.root, AS_OF)) == {
         name: "done",
         "yellow_tripdata_2023-02.parquet": "corrupt",
+        "notes.parquet": "skipped",
     }
     values = {
         (r.metric, r.labels): r.value
@@ -154,7 +155,7 @@ def test_damage_inside_a_file_is_reported(spark, tmp_path):
 def _store_with(spark, root, derived):
     store = Store(spark, str(root))
     store.write_states(agg.partials(derived, as_of_year=AS_OF.year))
-    ingest.refresh_datasets(store, TAXI_TYPES)
+    ingest.refresh_datasets(store, ["yellow", "fhv"])
     return store
 
 
@@ -202,12 +203,12 @@ def test_serving_copy_survives_a_crash_while_writing(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     schema = DATASETS["zone_time_buckets"]
     first = spark.createDataFrame([(1, "night", "yellow", 5)], schema)
-    store.replace_serving("zone_time_buckets", first)
-    # The other copy is written, but never committed.
-    first.limit(0).write.parquet(f"{store.root}/serving/zone_time_buckets/slot=b")
+    store.replace_serving("zone_time_buckets", first, ["yellow"])
+    # The next version is written, but never committed.
+    first.limit(0).write.parquet(f"{store.root}/serving/zone_time_buckets/version=2")
     assert rows_of(store.serving("zone_time_buckets")) == rows_of(first)
     second = store.serving("zone_time_buckets").withColumn("trip_count", F.lit(6).cast("bigint"))
-    store.replace_serving("zone_time_buckets", second)
+    store.replace_serving("zone_time_buckets", second, ["yellow"])
     assert store.serving("zone_time_buckets").first().trip_count == 6
 
 

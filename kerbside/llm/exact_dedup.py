@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import SPACE_CLASS, stored, text_of
+from kerbside.operators.joins import lookup_join
 from kerbside.workspace import scratch
 
 FILES_PER_BATCH = 64
@@ -99,13 +100,15 @@ def dedupe(
     """
     checkpoint = checkpoint or scratch(spark, "dedup-state")
     update_state(spark, path, checkpoint, files_per_batch)
-    held = stored(state(spark, checkpoint), "dedup-digests")
+    # Only digests of several rows are looked up: by a broadcast if they are few, which is
+    # counted, else by a join that spreads hot ones.
+    repeated = stored(state(spark, checkpoint).filter("copies > 1"), "dedup-digests")
+    n = repeated.count()
     rows = spark.read.parquet(path).select(
         F.struct(*columns).alias("row"), text_of().alias("text"), _place().alias("place"), _digest().alias("digest")
     )
-    repeated = held.filter("copies > 1")
     hits = stored(
-        rows.join(repeated, "digest").select("digest", "place", "keep", normalised(F.col("text")).alias("content")),
+        lookup_join(rows, repeated, ["digest"], lookup_rows=n).select("digest", "place", "keep", normalised(F.col("text")).alias("content")),
         "dedup-hits",
     )
     keepers = hits.filter(F.col("place") == F.col("keep")).select("digest", F.col("content").alias("kept_content"))
@@ -113,7 +116,8 @@ def dedupe(
         hits.join(keepers, "digest").filter(F.col("content") != F.col("kept_content")).select("digest"),
         "dedup-collisions",
     )
-    verdict = rows.join(held, "digest", "left")
+    verdict = lookup_join(rows, repeated, ["digest"], "left", lookup_rows=n)
+    verdict = verdict.withColumn("keep", F.coalesce("keep", "place")).withColumn("copies", F.coalesce("copies", F.lit(1)))
     if not wrong.isEmpty():  # texts that differ under one digest: their groups go by the content itself
         anew = hits.join(wrong.distinct(), "digest").groupBy("digest", "content")
         anew = stored(anew.agg(F.min("place").alias("true_keep"), F.count(F.lit(1)).alias("true_copies")), "dedup-anew")
@@ -123,7 +127,7 @@ def dedupe(
     return verdict.select(
         "row.*",
         F.col("keep.doc_id").alias("keep_id"),
-        F.col("copies").alias("group_size"),
+        F.col("copies").cast("bigint").alias("group_size"),
         (F.col("place") == F.col("keep")).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )

@@ -46,6 +46,17 @@ def numbered(frame: DataFrame, name: str, purpose: str) -> DataFrame:
     return joined.drop("_part", "_place", "_before")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of so many rows at most, for the rest of the session.
+
+    Whole texts of the usual batch of 10,000 rows, twice or more in a worker, are a good
+    part of an executor's memory.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_of(column: str | Column = "text") -> Column:
     """A text, empty if null."""
     return F.coalesce(column if isinstance(column, Column) else F.col(column), F.lit(""))

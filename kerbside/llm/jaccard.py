@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import same, stored, text_of
+from kerbside.llm.common import same, small_batches, stored, text_of
 from kerbside.llm.prefix_tree import links, needed
 from kerbside.llm.shingles import gram_sets, mixed
 from kerbside.operators.joins import lookup_join
@@ -37,8 +37,8 @@ WORDS = 5
 PERCENT = 75
 COMMON = 1 << 22
 GROUP = 1024
-_COUNTED_AT_ONCE = 1 << 22
-_LISTED_AT_ONCE = 1 << 20
+_COUNTED_AT_ONCE = 1 << 20
+_LISTED_AT_ONCE = 1 << 18
 # An element in so many documents is dealt to several tasks.
 _SALTED = 1 << 16
 _PAIRED = 64
@@ -319,6 +319,7 @@ def _with_component(frame: DataFrame, found: DataFrame) -> DataFrame:
 
 def join(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every document."""
+    small_batches(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     members = stored(signatures(documents, words), "jaccard-members")
     named = members.filter("n > 0 AND doc_id IS NOT NULL")

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.llm.common import small_batches
+
 UNKNOWN = "und"
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -34,8 +36,8 @@ STEPS = 15
 PENALTY = 0.02
 ADDED = ("lang_pred", "score", "languages")
 _PIECE = 1 << 18
-_DOCUMENTS_AT_ONCE = 200
-_CHARS_AT_ONCE = 1 << 20
+_DOCUMENTS_AT_ONCE = 100
+_CHARS_AT_ONCE = 1 << 19
 _RESULT = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
 
 
@@ -115,6 +117,7 @@ def learn(documents: DataFrame, label: str = "lang") -> LanguageModel:
                 [pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(total[at])], ["label", "bucket", "n"]
             )
 
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col(label).alias("label"), "text").filter("label IS NOT NULL AND text IS NOT NULL")
     counts = rows.mapInArrow(count, "label string, bucket bigint, n bigint").groupBy("label", "bucket")
     found = counts.agg(F.sum("n").alias("n")).toArrow()
@@ -195,6 +198,7 @@ def predictor(model: LanguageModel, penalty: float = PENALTY):
 
 def identify(documents: DataFrame, model: LanguageModel, penalty: float = PENALTY) -> DataFrame:
     """The documents with lang_pred, score (share of that language) and languages (all of the set)."""
+    small_batches(documents.sparkSession)
     found = predictor(model, penalty)("text")
     rows = documents.drop(*ADDED, "_found").withColumn("_found", found)
     return rows.select("*", "_found.*").drop("_found")

@@ -2,12 +2,13 @@
 
 Dated entries (add or remove a key) become intervals in which a key is listed. An as-of
 join then evaluates every capture against what was listed when it was fetched. A key is a
-host or a domain above it, or a host with the first part of the path.
+host or a domain above it, alone or with the first parts of the path, of any number.
 
 Defined cases: of entries for one key on one date an addition counts. An entry without
 list, key or date is void; one without action is an addition. A capture whose url is null
-or has no host matches nothing, nor does one without time. Hosts longer than a host can be
-(253 characters) are keys as a whole only. Repeated captures are each kept. Empty lists
+or has no host matches nothing, nor does one without time. Case counts in paths, not in hosts;
+slashes at the end of an entry's key do not count. Hosts longer than a host can be
+(253 characters) have no domains above them. Repeated captures are each kept. Empty lists
 block nothing; no captures give no rows. Extra columns are carried along; of columns that
 bear the name of one computed here, the computed one stays.
 """
@@ -22,22 +23,39 @@ from kerbside.llm.common import same, stored
 LONGEST_HOST = 253
 ADDED = ("blocked", "matches")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
-_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)"
+_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]+)"
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, _HOST, 1))
 
 
-def url_keys(url: Column) -> Column:
-    """The host, its domains, and the host with the first part of the path."""
+def entry_key(key: Column) -> Column:
+    """The key of an entry as ``url_keys`` writes it."""
+    name = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(name), F.rtrim(F.substr(key, F.length(name) + 1), F.lit("/")))
+
+
+def key_depth(key: Column) -> Column:
+    """How many parts of a path a key has."""
+    return F.size(F.split(key, "/")) - 1
+
+
+def url_keys(url: Column, depth: int | None = None) -> Column:
+    """The host and its domains, each alone and with every beginning of the path.
+
+    Beginnings end with a part; those of more than ``depth`` parts are left out.
+    """
     name = host(url)
     labels = F.split(name, r"\.")
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
     names = F.when(F.length(name) > LONGEST_HOST, F.array(name)).otherwise(suffixes)
-    first = F.regexp_extract(url, _PATH, 1)
-    keys = F.when(first != "", F.concat(names, F.array(F.concat_ws("/", name, first)))).otherwise(names)
+    parts = F.split(F.regexp_extract(url, _PATH, 1), "/")
+    most = F.size(parts) if depth is None else F.least(F.size(parts), F.lit(depth))
+    ends = F.filter(F.sequence(F.lit(0), most), lambda i: (i == 0) | (F.get(parts, i - 1) != ""))
+    below = F.transform(ends, lambda i: F.when(i == 0, "").otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
+    keys = F.flatten(F.transform(names, lambda x: F.transform(below, lambda y: F.concat(x, y))))
     return F.when(name != "", keys)
 
 
@@ -49,7 +67,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     """
     known = entries.filter("list IS NOT NULL AND key IS NOT NULL AND dated IS NOT NULL")
     added = F.coalesce(F.col("action") != "remove", F.lit(True))
-    daily = known.groupBy("list", F.lower("key").alias("key"), F.to_date("dated").alias("valid_from"))
+    daily = known.groupBy("list", entry_key(F.col("key")).alias("key"), F.to_date("dated").alias("valid_from"))
     daily = daily.agg(F.max(added).alias("listed"))
     until = F.lead("valid_from").over(Window.partitionBy("list", "key").orderBy("valid_from"))
     return daily.withColumn("valid_until", until).filter("listed").drop("listed")
@@ -64,7 +82,9 @@ def judge(captures: DataFrame, entries: DataFrame, blocking: str = "block", allo
     active = stored(intervals(entries), "url-intervals")
     captures = captures.drop(*ADDED)
     fetches = captures.select("url", "fetched_at").distinct()
-    keyed = fetches.withColumn("key", F.explode(F.array_distinct(url_keys(F.col("url")))))
+    # Beginnings of paths with more parts than any entry has could match nothing.
+    depth = active.agg(F.max(key_depth(F.col("key")))).first()[0] or 0
+    keyed = fetches.withColumn("key", F.explode(F.array_distinct(url_keys(F.col("url"), depth))))
     day = F.to_date("fetched_at")
     listed = keyed.join(active, "key").filter(
         (F.col("valid_from") <= day) & (F.col("valid_until").isNull() | (day < F.col("valid_until")))

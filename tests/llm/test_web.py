@@ -141,3 +141,32 @@ def test_lists_as_of_the_fetch(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert url_lists.judge(captures, entries.limit(0)).filter("blocked").count() == 0
     assert url_lists.judge(captures.limit(0), entries).count() == 0
+
+
+PATH_ENTRIES = ["Mixed.org/Dir", "deep.org/a/B/c", "example.org/x", "slash.org/d//", "twice.org//a", "port.org/p/q"]
+PATH_CAPTURES = {
+    "http://mixed.org/Dir/page": "mixed.org/Dir",
+    "http://MIXED.org/Dir": "mixed.org/Dir",
+    "http://mixed.org/dir/page": "",
+    "http://mixed.org/Directory": "",
+    "http://deep.org/a/B/c/d?e": "deep.org/a/B/c",
+    "http://deep.org/a/B/c#e": "deep.org/a/B/c",
+    "http://deep.org/a/B": "",
+    "http://deep.org/a/b/c": "",
+    "http://www.example.org/x/y/z/z/z": "example.org/x",
+    "http://example.org/?/x": "",
+    "http://slash.org/d": "slash.org/d",
+    "http://slash.org/d/e": "slash.org/d",
+    "http://twice.org//a/b": "twice.org//a",
+    "http://twice.org/a": "",
+    "http://u@port.org:80/p/q/": "port.org/p/q",
+}
+
+
+def test_paths_of_any_depth_below_hosts_and_domains(spark):
+    rows = [(url, dt.datetime(2024, 1, 2, 12)) for url in PATH_CAPTURES]
+    captures = spark.createDataFrame(rows, "url string, fetched_at timestamp")
+    entries = [("block", key, "add", D(2024, 1, 1)) for key in PATH_ENTRIES]
+    found = url_lists.judge(captures, spark.createDataFrame(entries, "list string, key string, action string, dated date"))
+    want = {url: (key != "", key and f"block:{key}") for url, key in PATH_CAPTURES.items()}
+    assert {r["url"]: (r["blocked"], r["matches"]) for r in found.collect()} == want

@@ -39,16 +39,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id stays.
+    """Of each component of near duplicates one row stays, of the smallest id.
 
-    A document without id is in no component and stays.
+    Texts that share an id are told apart. A document without id is in no component and stays.
     """
+    key = ["doc_id", "text_digest"]
     docs = fill(docs, COLUMNS)
-    joined = jaccard.join(docs)
-    gone = stored(
-        joined.filter("doc_id > component_id").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-near-copies"
-    )
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    joined = stored(jaccard.join(docs).select(*key, "n_shingles", "kept"), "pipeline-joined")
+    gone = stored(joined.filter("NOT kept").select(*key).distinct(), "pipeline-near-copies")
+    again = joined.filter("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy(*key).count()
+    again = stored(again.filter("count > 1").select(*key), "pipeline-repeated-rows")
+    left = docs.withColumn("text_digest", jaccard.text_digest()).join(gone, key, "left_anti")
+    if not again.isEmpty():
+        left = left.join(again, key, "left_anti").unionByName(left.join(again, key, "left_semi").dropDuplicates(key))
+    return left.select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,8 @@ blocks meet. What the driver holds is bounded: the ``COMMON`` most frequent n-gr
 
 Defined cases: a text that is null or has no words has the empty set and is linked with
 nothing. A document without id is linked with nothing and has no component. Rows with equal id are one
-document. No rows give no rows. Texts are read whole. Other columns are not read.
+document, whose texts lie in one component even if they differ. Which row stays is decided by the texts
+alone: an id that has several links none of them. No rows give no rows. Texts are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -56,16 +57,21 @@ def _batch(columns: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types)], list(names))
 
 
+def text_digest() -> Column:
+    return F.unhex(F.sha2(text_of(), 256))
+
+
 def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n (size of the set), s1 and s2 (the set, in 128 bits)."""
-    schema = "doc_id bigint, n bigint, s1 bigint, s2 bigint"
+    """doc_id, text_digest, n (size of the set), s1 and s2 (the set, in 128 bits)."""
+    schema = "doc_id bigint, text_digest binary, n bigint, s1 bigint, s2 bigint"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_signature(s) for _, _, sets in gram_sets(batch, words) for s in sets]
-            yield _batch([batch.column("doc_id"), *(zip(*found) if found else ([], [], []))], schema)
+            own = [batch.column("doc_id"), batch.column("text_digest")]
+            yield _batch([*own, *(zip(*found) if found else ([], [], []))], schema)
 
-    return documents.mapInArrow(sign, schema)
+    return documents.select("doc_id", "text", text_digest().alias("text_digest")).mapInArrow(sign, schema)
 
 
 def _parts(documents: DataFrame) -> int:
@@ -317,14 +323,29 @@ def _with_component(frame: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("component", F.coalesce("component", "class"))
 
 
+def _united(found: DataFrame, classes: DataFrame, named: DataFrame, several: DataFrame) -> DataFrame:
+    """The components when the sets of each id in ``several`` are linked, too."""
+    own = lookup_join(named, several, ["doc_id"]).select("doc_id", *_SET).distinct()
+    own = stored(own.join(classes, _SET).select("doc_id", "class"), "jaccard-own-sets")
+    least = own.groupBy("doc_id").agg(F.min("class").alias("b"))
+    edges = own.join(least, "doc_id").select(F.col("class").alias("a"), "b")
+    return components(edges.union(found.select(F.col("class").alias("a"), F.col("component").alias("b"))))
+
+
 def join(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every document."""
+    """doc_id, text_digest, n_shingles, class_id (smallest id with an equal set), component_id and kept of every row.
+
+    ``kept`` leaves one text of each component of texts, of the smallest id; rows of that id and text
+    have it all. Rows without id or words have it, too.
+    """
     small_batches(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     members = stored(signatures(documents, words), "jaccard-members")
     named = members.filter("n > 0 AND doc_id IS NOT NULL")
     classes = stored(
-        named.groupBy(*_SET).agg(F.min("doc_id").alias("first")).withColumn("class", F.monotonically_increasing_id()),
+        named.groupBy(*_SET)
+        .agg(F.min(F.struct("doc_id", "text_digest")).alias("top"))
+        .select(*_SET, F.col("top.doc_id").alias("first"), "top", F.monotonically_increasing_id().alias("class")),
         "jaccard-classes",
     )
     named_documents = documents.filter("doc_id IS NOT NULL")
@@ -357,17 +378,37 @@ def join(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
     found = stored(components(first_links.union(last_links)), "jaccard-components")
 
     placed = _with_component(classes, found)
-    smallest = stored(placed.groupBy("component").agg(F.min("first").alias("component_id")), "jaccard-smallest")
-    placed = stored(placed.join(smallest, "component").select(*_SET, "first", "component_id"), "jaccard-placed")
+    smallest = stored(placed.groupBy("component").agg(F.min("top").alias("keep")), "jaccard-smallest")
+    placed = placed.join(smallest, "component").withColumn("component_id", F.col("keep.doc_id"))
+    own_set = F.struct(*_SET)
+    several = members.filter("doc_id IS NOT NULL").groupBy("doc_id")
+    several = several.agg(F.min(own_set).alias("low"), F.max(own_set).alias("high")).filter("low != high")
+    several = stored(several.select("doc_id"), "jaccard-several")
+    repeated_ids = not several.isEmpty()
+    if repeated_ids:
+        united = _with_component(classes, stored(_united(found, classes, named, several), "jaccard-united"))
+        united = stored(united.select("class", "component", "first"), "jaccard-united")
+        lowest = united.groupBy("component").agg(F.min("first").alias("component_id"))
+        placed = placed.drop("component_id").join(united.join(lowest, "component").select("class", "component_id"), "class")
+    placed = stored(placed.select(*_SET, "first", "component_id", "keep"), "jaccard-placed")
     rows = members.join(placed, same(members, placed, _SET), "left")
     known = members["doc_id"].isNotNull()
     alone = members["doc_id"]
-    return rows.select(
+    rows = rows.select(
         members["doc_id"],
+        members["text_digest"],
         members["n"].alias("n_shingles"),
         F.when(known, F.coalesce(F.col("first"), alone)).alias("class_id"),
         F.when(known, F.coalesce(F.col("component_id"), alone)).alias("component_id"),
-    )
+        F.when(known, F.struct(members["doc_id"], members["text_digest"]) == F.col("keep")).alias("kept"),
+    ).withColumn("kept", F.coalesce("kept", F.lit(True)))
+    if not repeated_ids:
+        return rows
+    # A text without words has the component of the others of its id.
+    rows = stored(rows, "jaccard-rows")
+    of_id = lookup_join(rows, several, ["doc_id"]).groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
+    joined = rows.join(stored(of_id, "jaccard-ids"), "doc_id", "left")
+    return joined.withColumn("component_id", F.coalesce("of_id", "component_id")).drop("of_id")
 
 
 def _active_sets(documents: DataFrame, classes: DataFrame, entries: DataFrame, words: int) -> DataFrame:

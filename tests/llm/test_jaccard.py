@@ -161,3 +161,13 @@ def test_components_of_a_long_chain(spark):
     found = {r[0]: r[1] for r in jaccard.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 200: 100}
     assert jaccard.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_texts_of_one_id_are_one_document(build):
+    """Ids with two texts tie their components together; a text without words goes along."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, one, None, None), (5, one + " end", None, None), (5, two, None, None), (7, two + " end", None, None)]
+    rows += [(7, None, None, None), (4, three, None, None), (8, three + " end", None, None), (8, three, None, None)]
+    assert got(build(rows)) == expected(rows)
+    kept = {(r["doc_id"], r["n_shingles"]) for r in jaccard.join(build(rows)).filter("kept").collect()}
+    assert kept == {(3, 36), (5, 36), (7, 0), (4, 36)}

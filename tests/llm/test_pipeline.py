@@ -40,6 +40,15 @@ def test_near_copies_leave_one(spark, build):
     assert sorted((r[0] for r in left.collect()), key=repr) == [3, 9, None]
 
 
+def test_near_copies_by_text_where_an_id_has_several(spark, build):
+    """Id 5 has a near copy of 3 and another text; id 1 two near copies, equal sets and a repeated row."""
+    near, other, small = LONG.replace("w3x3 ", "other ", 1), "quite another text of some words", "One two three four five six"
+    texts = [(3, LONG), (5, near), (5, other), (1, small), (1, small.lower()), (1, small), (2, small.upper())]
+    left = pipeline.drop_near_copies(spark, build([(i, t, None, None) for i, t in texts]), "")
+    kept = sorted((r["doc_id"], r["text"]) for r in left.collect())
+    assert kept in [sorted([(3, LONG), (5, other), (1, t)]) for t in (small, small.lower())]
+
+
 def test_run_packs_every_word(spark):
     packed = pipeline.run(spark, "/root/testdata/sf0.001")
     bins = packed.select("bin_id", "used").distinct().agg({"used": "sum"}).first()[0]

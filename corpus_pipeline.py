@@ -19,16 +19,12 @@ COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "st
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-# A document goes if it has no letters, or if no language has this share of it.
-LEAST_SHARE = 0.5
-
-
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; the model learns from those not held out."""
+    """Documents with letters, in however many languages; the model learns from those not held out."""
     docs = fill(docs, COLUMNS)
     model = language.learn(docs.filter(language.learning_part(F.col("doc_id"))))
     found = language.identify(docs, model)
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*COLUMNS)
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,9 @@ import subprocess
 import sys
 
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
+
+from kerbside.llm import language
 from tests_llm_data import HARD, LONG
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,6 +36,17 @@ def test_each_stage_drops_only_what_it_should(spark):
     assert single.count() == len({"".join(re.split(r"[\x20\x09-\x0D]", r["text"])) for r in docs.collect()})
 
 
+def test_mixture_of_three_languages_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    longest = docs.filter("lang IS NOT NULL").groupBy("lang").agg(F.max_by("text", "n_chars"))
+    texts = [r[1] for r in longest.orderBy("lang").limit(3).collect()]
+    mixture = " ".join(t[:n] for t, n in zip(texts, (1350, 900, 750)))
+    odd = spark.createDataFrame([(5000, mixture, None, None, len(mixture))], docs.schema)
+    model = language.learn(docs.filter(language.learning_part(F.col("doc_id"))))
+    assert language.identify(odd, model).first()["score"] < 0.5
+    assert pipeline.keep_identified(spark, docs.union(odd), "").filter("doc_id = 5000").count() == 1
+
+
 def test_near_copies_leave_one(spark, build):
     near = LONG.replace("w3x3 ", "other ", 1)
     rows = [(7, LONG, None, None), (3, near, None, None), (9, "quite another text of some words", None, None), (None, near, None, None)]

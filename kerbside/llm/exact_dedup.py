@@ -23,6 +23,8 @@ from kerbside.operators.joins import lookup_join
 from kerbside.workspace import scratch
 
 FILES_PER_BATCH = 64
+# A stream passes over files older than this against the newest one seen: by default a week.
+_ANY_AGE = "100000000d"
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -62,6 +64,7 @@ def update_state(spark: SparkSession, path: str, checkpoint: str, files_per_batc
         rows = (
             spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", str(files_per_batch))
+            .option("maxFileAge", _ANY_AGE)
             .parquet(f"{path[:-1]}[{path[-1]}]")
         )
         seen = rows.select(_digest().alias("digest"), _place().alias("place")).groupBy("digest")

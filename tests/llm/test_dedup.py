@@ -1,6 +1,7 @@
 """Exact and line deduplication against plain Python."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -55,6 +56,19 @@ def test_state_goes_on(spark, build):
     assert sorted((tuple(r) for r in found.select(columns).collect()), key=repr) == expected_copies(HARD)
 
 
+def test_state_takes_late_files_of_any_age(spark, build):
+    """Files that come later but are older by their times, as after a copy that preserves them."""
+    path, checkpoint = written(spark, build(HARD[:6])), scratch(spark, "test-state")
+    exact_dedup.dedupe(spark, path, checkpoint=checkpoint)
+    before = set(os.listdir(path))
+    build(HARD[6:]).write.mode("append").parquet(path)
+    for days, name in enumerate(sorted(set(os.listdir(path)) - before)):
+        os.utime(os.path.join(path, name), (86_400 * 365 * days,) * 2)
+    found = exact_dedup.dedupe(spark, path, checkpoint=checkpoint)
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted((tuple(r) for r in found.select(columns).collect()), key=repr) == expected_copies(HARD)
+
+
 def test_equal_digests_of_different_texts(spark, build, monkeypatch):
     """Bytes are compared on hits: with a digest of one letter, groups still go by the text."""
     from pyspark.sql import functions as F

@@ -33,6 +33,7 @@ RECORDS_PER_FILE = 20_000
 BLOCK_CAPTURES = 512
 SAMPLES_PER_RANGE = 32
 FIRST_CAPTURE = 1_704_067_200  # 2024-01-01T00:00:00Z
+_PACKED_AT_ONCE = 1 << 16
 _ORDER = ("url_key", "captured_at", "page_id")
 # Fixed values of the format.
 _BREAK = "\r\n"
@@ -127,6 +128,24 @@ def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
         at = stop + 4
 
 
+def unpack(content: memoryview) -> bytes:
+    """What all gzip members of an archive hold, one after the other."""
+    out, at, member = [], 0, None
+    while at < len(content):
+        if member is None:
+            if content[at] == 0 and out:  # padding after a member
+                at += 1
+                continue
+            member = zlib.decompressobj(31)
+        piece = content[at : at + _PACKED_AT_ONCE]
+        out.append(member.decompress(piece))
+        at += len(piece) - len(member.unused_data)
+        member = None if member.eof else member
+    if member is not None:
+        raise ValueError("the last gzip member does not reach its end")
+    return b"".join(out)
+
+
 def _page(name: str) -> int | None:
     number = name.removeprefix("<urn:page:").rstrip(">")
     return None if number == "none" else int(number)
@@ -155,7 +174,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         schema = [name for name in _NAMES if name != "url_key"]
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                unpacked = zlib.decompressobj(31).decompress(content.as_buffer())
+                unpacked = unpack(memoryview(content.as_buffer()).cast("B"))
                 found = [_capture(h, block, name, at, n) for h, block, at, n in parse(unpacked)]
                 yield pa.RecordBatch.from_arrays([pa.array([c[x] for c in found], _TYPES[x]) for x in schema], schema)
 

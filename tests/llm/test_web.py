@@ -1,7 +1,9 @@
 """Archives, their merged index, and dated URL lists."""
 
 import datetime as dt
+import gzip
 import hashlib
+import pathlib
 import random
 
 import pytest
@@ -96,6 +98,23 @@ def test_damage_is_noticed():
             list(warc.parse(bad))
 
 
+def test_archives_of_many_gzip_members(spark, tmp_path):
+    """A member for each record, as is usual, and an archive that breaks off."""
+    path = scratch(spark, "test-warc")
+    warc.write_archives(pages(spark, PAGES), path)
+    whole = [gzip.decompress(p.read_bytes()) for p in pathlib.Path(path).glob("*.gz")]
+    parts = [[archive[at : at + n] for _, _, at, n in warc.parse(archive)] for archive in whole]
+    for i, members in enumerate(parts):
+        (tmp_path / f"{i}.warc.gz").write_bytes(b"".join(map(gzip.compress, members)))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    found = warc.read_archives(spark, str(tmp_path)).select(columns).collect()
+    assert sorted(map(tuple, found), key=repr) == expected(PAGES)
+    packed = gzip.compress(b"one") + gzip.compress(b"two") + bytes(9)
+    assert warc.unpack(memoryview(packed)) == b"onetwo"
+    with pytest.raises(ValueError):
+        warc.unpack(memoryview(packed[:-12]))
+
+
 D = dt.date
 ENTRIES = [
     ("block", "bad.org", "add", D(2024, 1, 10)),

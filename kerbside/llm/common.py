@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,8 +46,8 @@ def numbered(frame: DataFrame, name: str, purpose: str) -> DataFrame:
     return joined.drop("_part", "_place", "_before")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in batches of so many rows at most, for the rest of the session.
+def small_batches(spark: SparkSession, rows: int = 1000, size: int | None = None) -> None:
+    """Hand texts to Python in batches of so many rows (and bytes) at most, for the rest of the session.
 
     Whole texts of the usual batch of 10,000 rows, twice or more in a worker, are a good
     part of an executor's memory.
@@ -55,6 +55,27 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    if size is not None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+#: ASCII letters and digits and all bytes of other characters stay; the rest becomes a space.
+_ALPHANUMERIC = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+
+
+def spaced(text: bytes | None) -> bytes:
+    """A UTF-8 text with A to Z in lower case, and spaces for ASCII other than letters and digits."""
+    return (text or b"").lower().translate(_ALPHANUMERIC)
+
+
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text with spaces between words, in pieces of about ``size`` bytes that end between words."""
+    at = 0
+    while at < len(text):
+        stop = text.find(b" ", at + size)
+        stop = len(text) if stop < 0 else stop
+        yield text[at:stop]
+        at = stop + 1
 
 
 def text_of(column: str | Column = "text") -> Column:

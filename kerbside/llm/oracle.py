@@ -94,3 +94,31 @@ found AS (
 SELECT pages.page_id, pages.url, coalesce(blocked, false) AS blocked, coalesce(matches, '') AS matches
 FROM pages LEFT JOIN found USING (page_id, url)
 """
+
+ORACLE["op12_block_max_search"] = r"""
+WITH word AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents)
+  GROUP BY ALL),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM word GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS words FROM size),
+relative AS (SELECT doc_id, 75 + (25 * n * n_docs) // words AS m FROM size, total),
+known AS (SELECT term, count(*) AS df FROM word GROUP BY term),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+weighted AS (
+  SELECT item_id, term, repeats * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM asked JOIN known USING (term), total),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM weighted JOIN word USING (term) JOIN relative USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 20
+"""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact_dedup, jaccard, language, line_dedup, mixing, packing, sharding, topk, url_lists, warc
+from kerbside.llm import (
+    exact_dedup,
+    jaccard,
+    language,
+    lexical,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    periods,
+    sharding,
+    topk,
+    url_lists,
+    warc,
+)
 from kerbside.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +134,44 @@ def op10_line_dedup(spark, sf):
     bitmaps = line_dedup.stored_bitmaps(documents)
     kept = line_dedup.apply_bitmaps(documents, bitmaps)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_license_rules(spark, sf):
+    """All documents with the license phrases and detections of the ordered rules."""
+    found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda d: d["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.labels_of(F.col("base")).alias("base_labels"),
+        licenses.labels_of(F.col("base"), F.col("detections")).alias("labels"),
+        licenses.score_of(F.col("detections")).alias("score"),
+    )
+
+
+@query
+def op12_block_max_search(spark, sf):
+    """The twenty best of all documents for each benchmark item."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return lexical.search(documents, table(spark, sf, "benchmark"))
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    """All documents with their runs of four periods and more, some texts made periodic first."""
+    found = periods.find(table(spark, sf, "documents").select("doc_id", "text"), rewrite=periods.planted)
+    best = periods.longest(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).cast("bigint").alias("exponent_milli"),
+        F.sha2(periods.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -1,13 +1,14 @@
 """Mergeable aggregate states: counts, exact sums and second moments.
 
 A state holds, per measure, the number of values, their sum and (where a
-deviation is asked for) the sum of squared distances to the mean. Sums are kept
-as integers in a fixed unit, because integer addition gives the same result in
-any order: re-run tasks, another partitioning or a month-by-month build all
-yield bit-equal averages. Values are rounded to the unit (a millionth, or a second
-of duration). The sums are decimals of 38 digits: no history is long enough to
-overflow them. Infinities, NaN and single values that 64 bits of units cannot hold
-go to a plain floating-point remainder.
+deviation is asked for) the sum of their squares. Sums are kept as integers in a
+fixed unit, because integer addition gives the same result in any order: re-run
+tasks, another partitioning or a month-by-month build all yield bit-equal averages
+and deviations, and states combine by sums alone. Values are rounded to the unit (a
+millionth, or a second of duration). The sums are decimals of 38 digits: cleaning
+keeps a squared value below 1e18, so that no history is long enough to overflow
+them. Infinities, NaN and single values that 64 bits of units cannot hold go to a
+plain floating-point remainder.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.operators.joins import lookup_join
-
 
 @dataclass(frozen=True)
 class Measure:
@@ -46,6 +45,7 @@ _BY_NAME = {m.name: m for m in MEASURES}
 TRIPS = "trips"
 UNITS = "decimal(38,0)"
 _MOST_UNITS = 9e18  # units of one value that 64 bits hold
+_ROOT_OF_MOST = 3_000_000_000  # units whose square 64 bits hold
 
 
 def _cnt(m: Measure) -> str:
@@ -60,8 +60,8 @@ def _rest(m: Measure) -> str:
     return f"{m.name}_rest"
 
 
-def _m2(m: Measure) -> str:
-    return f"{m.name}_m2"
+def _squares(m: Measure) -> str:
+    return f"{m.name}_squares"
 
 
 def state_columns() -> list[tuple[str, str]]:
@@ -72,7 +72,7 @@ def state_columns() -> list[tuple[str, str]]:
         if not m.bounded:
             columns.append((_rest(m), "double"))
         if m.spread:
-            columns.append((_m2(m), "double"))
+            columns.append((_squares(m), UNITS))
     return columns
 
 
@@ -92,40 +92,32 @@ def summarise(trips: DataFrame, keys: list[str], counted: Column | None = None)
         value = F.col(m.column) if counted is None else F.when(counted, F.col(m.column))
         fits = F.abs(value) < _MOST_UNITS / m.scale
         exact = value if m.bounded else F.when(fits, value)
+        units = F.rint(exact * m.scale).cast("bigint")
         aggregates += [
             F.count(value).alias(_cnt(m)),
-            F.sum(F.rint(exact * m.scale).cast("bigint").cast("decimal(19,0)")).cast(UNITS).alias(_units(m)),
+            F.sum(units.cast("decimal(19,0)")).cast(UNITS).alias(_units(m)),
         ]
         if not m.bounded:
             aggregates.append(F.sum(F.when(~fits, value)).alias(_rest(m)))
         if m.spread:
-            aggregates.append((F.var_pop(value) * F.count(value)).alias(_m2(m)))
+            aggregates.append(F.sum(_square(units)).cast(UNITS).alias(_squares(m)))
     return trips.groupBy(*keys).agg(*aggregates)
 
 
+def _square(units: Column) -> Column:
+    """The square of a number of units: in 64 bits, where they hold it."""
+    small = F.abs(units) < _ROOT_OF_MOST
+    wide = units.cast("decimal(19,0)")
+    return F.when(small, (units * units).cast("decimal(19,0)").cast(UNITS)).otherwise(wide * wide)
+
+
 def merge(states: DataFrame, keys: list[str], spread: bool = False) -> DataFrame:
-    """Combine states to coarser ``keys``.
+    """Combine states to coarser ``keys``: every column is a sum.
 
-    The second moment is the sum of the inner ones plus that of the part means
-    around the common mean. The common means, one row per key, come from a first
-    aggregate and are looked up by the states (broadcast if they are few, which is
-    counted). Both aggregates combine in the map tasks, however hot a key is.
+    The aggregate combines in the map tasks, however hot a key is.
     """
-    parts = states
-    if spread:
-        moments = [m for m in MEASURES if m.spread]
-        means = states.groupBy(*keys).agg(
-            *[(_whole(F.sum(_units(m)), m) / F.sum(_cnt(m))).alias(f"_{m.name}_mean") for m in moments]
-        )
-        # Kept trips have all keys: none is null.
-        parts = lookup_join(states, means, keys)
-        for m in moments:
-            shift = _whole(F.col(_units(m)), m) / F.col(_cnt(m)) - F.col(f"_{m.name}_mean")
-            between = F.when(F.col(_cnt(m)) > 0, F.col(_cnt(m)) * shift * shift)
-            parts = parts.withColumn(_m2(m), F.col(_m2(m)) + between)
-    wanted = [name for name, _ in state_columns() if spread or not name.endswith("_m2")]
-    kinds = dict(state_columns())
-    return parts.groupBy(*keys).agg(*[F.sum(name).cast(kinds[name]).alias(name) for name in wanted])
+    wanted = [(name, kind) for name, kind in state_columns() if spread or not name.endswith("_squares")]
+    return states.groupBy(*keys).agg(*[F.sum(name).cast(kind).alias(name) for name, kind in wanted])
 
 
 def _whole(units: Column, m: Measure) -> Column:
@@ -149,6 +141,17 @@ def mean(name: str) -> Column:
 
 
 def deviation(name: str) -> Column:
-    """Sample standard deviation of a measure; NULL for fewer than two values."""
+    """Sample standard deviation of a measure; NULL for fewer than two values.
+
+    The squares are taken around a whole number of units near the mean, exactly. What
+    remains of the mean after that is at most half a unit, so that little is lost to
+    cancellation, however small the spread is.
+    """
     m = _BY_NAME[name]
-    return F.when(F.col(_cnt(m)) > 1, F.sqrt(F.col(_m2(m)) / (F.col(_cnt(m)) - 1)))
+    count, units = F.col(_cnt(m)), F.col(_units(m))
+    n = count.cast("decimal(19,0)")
+    centre = F.rint(units.cast("double") / count).cast("bigint").cast("decimal(19,0)")
+    around = (F.col(_squares(m)) - centre * (units + units - n * centre)).cast("double")
+    left = (units - n * centre).cast("double")
+    variance = F.greatest(around - left * left / count, F.lit(0.0)) / (count - 1)
+    return F.when(count > 1, F.sqrt(variance) / F.lit(m.scale))

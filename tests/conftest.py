@@ -59,8 +59,3 @@ def trips(spark):
         return spark.createDataFrame(rows, schema)
 
     return build
-
-
-def rows_of(frame) -> list[tuple]:
-    """All rows as sorted tuples, columns by name."""
-    return sorted((tuple(r) for r in frame.select(*sorted(frame.columns)).collect()), key=repr)

@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from frames import rows_of
 from kerbside import fixtures
 from kerbside.operators import aggregates as agg
 from kerbside.operators import rules

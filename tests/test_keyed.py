@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows_of
+from frames import rows_of
 from kerbside.operators.joins import lookup_join
 from kerbside.operators.keyed import conform, dedupe_last, duplicate_count, nan_to_null, upsert
 

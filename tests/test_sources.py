@@ -5,7 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from frames import rows_of
 from kerbside.functions import names
 from kerbside.sources.coverage import coverage, outcome_rollup
 from kerbside.sources.listing import check_files, raw_inventory

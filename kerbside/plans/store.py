@@ -25,6 +25,7 @@ from kerbside.functions.moments import TRIPS, UNITS, state_columns
 from kerbside.operators.keyed import conform
 from kerbside.schema import DATASETS, LOAD_LOG, MANIFEST, RUN_METRICS, SERVING_LOG
 from kerbside.sources.processed import read_or_empty
+from kerbside.workspace import remove
 
 ALL_MONTHS = "all"
 _TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), UNITS: T.DecimalType(38, 0)}
@@ -171,8 +172,7 @@ class Store:
         """Remove committed versions other than these."""
         known = self.log("serving_log").filter(F.col("dataset") == name).select("version").distinct()
         for row in known.filter(~F.col("version").isin(*keep)).collect():
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._serving_path(name, row.version))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(self.spark, self._serving_path(name, row.version))
 
     def _serving_path(self, name: str, version: int) -> str:
         return f"{self.root}/serving/{name}/version={version}"

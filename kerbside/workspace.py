@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Of each open ``temporary`` block, the innermost last, the folders named within it.
+_OPEN: list[list[str]] = []
+
 
 def session(app: str = "kerbside", **settings: str) -> SparkSession:
     """A session with the settings this library is meant to run with, and further ones:
@@ -29,14 +35,40 @@ def session(app: str = "kerbside", **settings: str) -> SparkSession:
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder that the cluster names.
 
-    Only a local session without that setting gets a machine-local folder.
+    Only a local session without that setting gets a machine-local folder. Within a
+    ``temporary`` block the folder lasts as long as the block.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = _local_root()
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end, also after an error, all scratch folders named within it.
+
+    What is needed of them has to be written elsewhere before: to a folder named outside.
+    """
+    folders: list[str] = []
+    _OPEN.append(folders)
+    try:
+        yield
+    finally:
+        _OPEN.remove(folders)
+        for folder in folders:
+            remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, in whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:
@@ -46,5 +78,15 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def settled(spark: SparkSession, purpose: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives, written; the scratch folders it named are removed after that."""
+    path = scratch(spark, purpose)
+    with temporary(spark):
+        frame = build()
+        frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+@cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="kerbside-")

@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import SPACE_CLASS, stored, text_of
-from kerbside.operators.joins import lookup_join
-from kerbside.workspace import scratch
+from kerbside.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, size_within
+from kerbside.workspace import scratch, settled, temporary
 
 FILES_PER_BATCH = 64
 # A stream passes over files older than this against the newest one seen: by default a week.
@@ -101,29 +101,24 @@ def dedupe(
 
     ``checkpoint`` carries the state on to later calls with more files in the table.
     """
-    checkpoint = checkpoint or scratch(spark, "dedup-state")
-    update_state(spark, path, checkpoint, files_per_batch)
-    # Only digests of several rows are looked up: by a broadcast if they are few, which is
-    # counted, else by a join that spreads hot ones.
-    repeated = stored(state(spark, checkpoint).filter("copies > 1"), "dedup-digests")
-    n = repeated.count()
+
+    def repeated_digests() -> DataFrame:
+        at = checkpoint or scratch(spark, "dedup-state")
+        update_state(spark, path, at, files_per_batch)
+        return state(spark, at).filter("copies > 1")
+
+    # Only digests of several rows are looked up: by a broadcast if they are few and short,
+    # which is measured, else by a join that spreads hot ones.
+    repeated = settled(spark, "dedup-digests", repeated_digests)
+    n = size_within(repeated, BROADCAST_ROWS, BROADCAST_BYTES)
+    n = BROADCAST_ROWS + 1 if n is None else n
     rows = spark.read.parquet(path).select(
         F.struct(*columns).alias("row"), text_of().alias("text"), _place().alias("place"), _digest().alias("digest")
     )
-    hits = stored(
-        lookup_join(rows, repeated, ["digest"], lookup_rows=n).select("digest", "place", "keep", normalised(F.col("text")).alias("content")),
-        "dedup-hits",
-    )
-    keepers = hits.filter(F.col("place") == F.col("keep")).select("digest", F.col("content").alias("kept_content"))
-    wrong = stored(
-        hits.join(keepers, "digest").filter(F.col("content") != F.col("kept_content")).select("digest"),
-        "dedup-collisions",
-    )
+    anew = _true_groups(rows, repeated, n)
     verdict = lookup_join(rows, repeated, ["digest"], "left", lookup_rows=n)
     verdict = verdict.withColumn("keep", F.coalesce("keep", "place")).withColumn("copies", F.coalesce("copies", F.lit(1)))
-    if not wrong.isEmpty():  # texts that differ under one digest: their groups go by the content itself
-        anew = hits.join(wrong.distinct(), "digest").groupBy("digest", "content")
-        anew = stored(anew.agg(F.min("place").alias("true_keep"), F.count(F.lit(1)).alias("true_copies")), "dedup-anew")
+    if anew is not None:
         verdict = verdict.withColumn("content", normalised(F.col("text"))).join(anew, ["digest", "content"], "left")
         verdict = verdict.withColumn("keep", F.coalesce("true_keep", "keep"))
         verdict = verdict.withColumn("copies", F.coalesce("true_copies", "copies"))
@@ -134,3 +129,22 @@ def dedupe(
         (F.col("place") == F.col("keep")).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
+
+
+def _true_groups(rows: DataFrame, repeated: DataFrame, n: int) -> DataFrame | None:
+    """Rows that hit a digest are compared with the content that stays; where texts differ under
+    one digest, their groups go by the content itself. None if there is no such digest."""
+    spark = rows.sparkSession
+    path = scratch(spark, "dedup-anew")
+    with temporary(spark):
+        found = lookup_join(rows, repeated, ["digest"], lookup_rows=n)
+        hits = stored(found.select("digest", "place", "keep", normalised(F.col("text")).alias("content")), "dedup-hits")
+        keepers = hits.filter(F.col("place") == F.col("keep")).select("digest", F.col("content").alias("kept_content"))
+        wrong = hits.join(keepers, "digest").filter(F.col("content") != F.col("kept_content")).select("digest")
+        wrong = stored(wrong, "dedup-collisions")
+        if wrong.isEmpty():
+            return None
+        anew = hits.join(wrong.distinct(), "digest").groupBy("digest", "content")
+        anew = anew.agg(F.min("place").alias("true_keep"), F.count(F.lit(1)).alias("true_copies"))
+        anew.write.parquet(path)
+    return spark.read.schema(anew.schema).parquet(path)

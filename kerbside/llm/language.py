@@ -32,13 +32,14 @@ BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 0.5
 STEPS = 15
 # What a language has to add to the log-likelihood: so much for each trigram of the text,
-# and half the logarithm of their number.
+# and half the logarithm of their number. A language of less than about a hundredth of a
+# text, however long, is not listed.
 PENALTY = 0.02
-ADDED = ("lang_pred", "score", "languages")
+ADDED = ("lang_pred", "score", "languages", "fit")
 _PIECE = 1 << 18
 _DOCUMENTS_AT_ONCE = 100
 _CHARS_AT_ONCE = 1 << 19
-_RESULT = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
+_RESULT = "lang_pred string, score double, languages array<struct<lang: string, share: double>>, fit double"
 
 
 @cache
@@ -176,28 +177,39 @@ def shares(counts: np.ndarray, likelihood: np.ndarray, steps: int = STEPS, penal
     return best
 
 
+def against_chance(counts: np.ndarray, likelihood: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each text under its mixture, per trigram, above that under equally likely buckets."""
+    text, bucket = np.nonzero(counts)
+    mixed = (likelihood[bucket] * share[text]).sum(axis=1)
+    gained = np.bincount(text, counts[text, bucket] * np.log(mixed * BUCKETS), minlength=len(counts))
+    return gained / counts.sum(axis=1)
+
+
 def predictor(model: LanguageModel, penalty: float = PENALTY):
-    """A function of a text column: struct of lang_pred, score and languages."""
+    """A function of a text column: struct of lang_pred, score, languages and fit."""
     labels, likelihood = model.labels, model.likelihood
 
     @F.pandas_udf(_RESULT)
     def predict(texts: pd.Series) -> pd.DataFrame:
-        out: list[tuple] = [(UNKNOWN, 0.0, [])] * len(texts)
+        out: list[tuple] = [(UNKNOWN, 0.0, [], None)] * len(texts)
         for rows, counts in trigrams(texts.tolist()) if labels else ():
             some = np.flatnonzero(counts.any(axis=1))
             if not len(some):
                 continue
-            for i, share in zip(some, shares(counts[some], likelihood, penalty=penalty)):
+            found_shares = shares(counts[some], likelihood, penalty=penalty)
+            fits = against_chance(counts[some], likelihood, found_shares).tolist()
+            for i, share, fit in zip(some, found_shares, fits):
                 order = [j for j in np.argsort(-share, kind="stable") if share[j] > 0]
                 found = [{"lang": labels[j], "share": float(share[j])} for j in order]
-                out[rows.start + i] = (found[0]["lang"], min(1.0, found[0]["share"]), found)
-        return pd.DataFrame(out, columns=["lang_pred", "score", "languages"])
+                out[rows.start + i] = (found[0]["lang"], min(1.0, found[0]["share"]), found, fit)
+        return pd.DataFrame(out, columns=list(ADDED))
 
     return predict
 
 
 def identify(documents: DataFrame, model: LanguageModel, penalty: float = PENALTY) -> DataFrame:
-    """The documents with lang_pred, score (share of that language) and languages (all of the set)."""
+    """The documents with lang_pred, score (share of that language), languages (all of the set) and
+    fit (by how much a trigram is more likely under them than by chance, as a logarithm; null for ``und``)."""
     small_batches(documents.sparkSession)
     found = predictor(model, penalty)("text")
     rows = documents.drop(*ADDED, "_found").withColumn("_found", found)

@@ -1,8 +1,9 @@
 """Mix sources to target weights by repeating documents.
 
 Words per source are summed, targets follow from weights and a limit on repetition, and
-each document is taken floor(rate) times and once more by a Bernoulli draw whose seed is
-a hash of the document, with the probability of the remaining fraction.
+each document is taken floor(rate) times and once more by a Bernoulli draw seeded by a hash
+of the document, with the probability of the remaining fraction. The draws of a source are
+made with several seeds at once, in one aggregate, and those nearest to its target count.
 
 Defined cases: a null text has no words; a null source is a source of its own, last in
 order. A source without words gets target 0 and is not taken. Rows with equal id and text
@@ -24,6 +25,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 SEED = 8
+SEEDS = 32
 ADDED = ("size", "source_size", "target", "rate", "taken_times")
 
 
@@ -76,16 +78,44 @@ def mix(
     seed: int = SEED,
 ) -> DataFrame:
     """Each document once, with size, source_size, target and rate of its source, and taken_times."""
-    sized = documents.drop(*ADDED, "_mix").withColumn("size", word_count(text_of()))
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    wanted = stored(targets(stored(sizes, "mix-sizes"), weights, share, most), "mix-targets")
-    named = F.struct(F.col("source").isNull(), F.coalesce("source", F.lit("")))
-    wanted = wanted.select(named.alias("_mix"), "source_size", "target")
+    sized = documents.drop(*ADDED, "_mix", "_seed").withColumn("size", word_count(text_of()))
+    # Texts are gone over twice; what the choice of seeds needs of them is small.
+    narrow = stored(sized.select(_named(), "source", "size", _hash().alias("hash")), "mix-rows")
+    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
+    wanted = targets(stored(sizes, "mix-sizes"), weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", text_of()), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    times = F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("bigint")
-    joined = lookup_join(sized.withColumn("_mix", named), wanted, ["_mix"], "left").drop("_mix")
-    return joined.withColumn("rate", rate).withColumn("taken_times", times)
+    wanted = stored(wanted.select(_named(), "source_size", "target", rate.alias("rate")), "mix-targets")
+    wanted = stored(wanted.join(_seeds(narrow, wanted, seed), "_mix"), "mix-seeds")
+    joined = lookup_join(sized.withColumn("_mix", _named()), wanted, ["_mix"], "left").drop("_mix")
+    times = F.floor("rate") + _drawn(_hash(), F.col("_seed")).cast("bigint")
+    return joined.withColumn("taken_times", times).drop("_seed")
+
+
+def _named() -> Column:
+    """A source as a key that is never null."""
+    return F.struct(F.col("source").isNull(), F.coalesce("source", F.lit(""))).alias("_mix")
+
+
+def _hash() -> Column:
+    return F.xxhash64("doc_id", text_of())
+
+
+def _drawn(hashed: Column, seed: Column) -> Column:
+    """Whether a document is taken once more than the whole part of its rate."""
+    draw = F.pmod(F.xxhash64(seed, hashed), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return draw < F.col("rate") - F.floor("rate")
+
+
+def _seeds(narrow: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+    """Per source that seed, of ``SEEDS`` from the given one on, whose draws come nearest to the target."""
+    numbers = [seed + i for i in range(SEEDS)]
+    rows = lookup_join(narrow.select("_mix", "size", "hash"), wanted, ["_mix"])
+    drawn = [F.sum(F.when(_drawn(F.col("hash"), F.lit(n)), F.col("size")).otherwise(0)) for n in numbers]
+    totals = rows.groupBy("_mix").agg(
+        F.first("target").alias("target"), (F.floor(F.first("rate")) * F.sum("size")).alias("whole"), F.array(*drawn).alias("drawn")
+    )
+    missed = F.transform("drawn", lambda x, i: F.struct(F.abs(F.col("whole") + x - F.col("target")).alias("by"), i.alias("i")))
+    return totals.select("_mix", (F.array_min(missed)["i"] + seed).alias("_seed"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:

@@ -65,12 +65,18 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 ORACLE["op6_temporal_url_lists"] = f"""
-WITH hosts AS (SELECT page_id, url, {_HOST} AS host FROM pages),
-names AS (SELECT host AS key FROM hosts UNION SELECT regexp_replace(host, '^[^.]+\\.', '') FROM hosts),
+WITH hosts AS (
+  SELECT page_id, url, {_HOST} AS host, regexp_replace({_HOST}, '^[^.]+\\.', '') AS domain,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS first
+  FROM pages),
+names AS (
+  SELECT host AS raw FROM hosts UNION SELECT domain FROM hosts
+  UNION SELECT upper(domain) || '/' || first FROM hosts WHERE first <> ''),
 digits AS (
-  SELECT key, ('0x' || md5(key)[1:2])::INTEGER AS d1, ('0x' || md5(key)[3:4])::INTEGER AS since,
-    ('0x' || md5(key)[5:6])::INTEGER + 1 AS days, ('0x' || md5(key)[7:8])::INTEGER AS turn
-  FROM names WHERE key <> ''),
+  SELECT lower(split_part(raw, '/', 1)) || raw[length(split_part(raw, '/', 1)) + 1:] AS key,
+    ('0x' || md5(raw)[1:2])::INTEGER AS d1, ('0x' || md5(raw)[3:4])::INTEGER AS since,
+    ('0x' || md5(raw)[5:6])::INTEGER + 1 AS days, ('0x' || md5(raw)[7:8])::INTEGER AS turn
+  FROM names WHERE raw <> ''),
 entries AS (
   SELECT key, CASE WHEN turn % 5 = 0 THEN 'allow' ELSE 'block' END AS list, turn % 3 AS steps,
     DATE '2024-01-01' + since AS d0, DATE '2024-01-01' + (since + days) AS d1, DATE '2024-01-01' + (since + 2 * days) AS d2
@@ -80,12 +86,13 @@ active AS (
   UNION ALL SELECT list, key, d2, NULL FROM entries WHERE steps = 2),
 fetched AS (
   SELECT *, make_timestamp((1704067200 + page_id * 600) * 1000000)::DATE AS day, string_split(host, '.') AS labels,
-    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS first
-  FROM hosts),
+    string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]+)', 1), '/') AS parts
+  FROM hosts WHERE host <> ''),
 keyed AS (
-  SELECT DISTINCT page_id, url, day, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))
-    || CASE WHEN first <> '' THEN [host || '/' || first] ELSE [] END) AS key
-  FROM fetched WHERE host <> ''),
+  SELECT DISTINCT page_id, url, day, name || CASE WHEN i = 0 THEN '' ELSE '/' || array_to_string(parts[1:i], '/') END AS key
+  FROM (SELECT *, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS name FROM fetched),
+    LATERAL (SELECT unnest(range(0, len(parts) + 1)) AS i)
+  WHERE i = 0 OR parts[i] <> ''),
 found AS (
   SELECT page_id, url, string_agg(list || ':' || key, ' ' ORDER BY list || ':' || key) AS matches,
     bool_or(list = 'block') AND NOT bool_or(list = 'allow') AS blocked

@@ -80,14 +80,17 @@ def op5_language_mixture(spark, sf):
 
 
 def list_entries(pages: DataFrame) -> DataFrame:
-    """Dated list entries for hosts and domains of the pages, chosen by digits of a hash.
+    """Dated list entries for hosts and domains of the pages, and the first parts of paths below
+    them (with the name in capitals), chosen by digits of a hash.
 
-    About a third of the names are listed from a day in 2024 on; half of those are taken
+    About a third of the keys are listed from a day in 2024 on; half of those are taken
     off later, and some of them come back.
     """
     name = url_lists.host(F.col("url"))
     domain = F.regexp_replace(name, r"^[^.]+\.", "")
-    names = pages.select(F.explode(F.array(name, domain)).alias("key")).filter("key != ''").distinct()
+    part = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
+    below = F.when(part != "", F.concat(F.upper(domain), F.lit("/"), part)).otherwise("")
+    names = pages.select(F.explode(F.array(name, domain, below)).alias("key")).filter("key != ''").distinct()
     digit = lambda i: F.conv(F.substring(F.md5("key"), i, 2), 16, 10).cast("int")
     listed = names.filter(digit(1) % 3 == 0).withColumns({"since": digit(3), "days": digit(5) + 1, "turn": digit(7)})
     list_ = F.when(F.col("turn") % 5 == 0, "allow").otherwise("block").alias("list")

@@ -7,8 +7,8 @@ host or a domain above it, alone or with the first parts of the path, of any num
 Defined cases: of entries for one key on one date an addition counts. An entry without
 list, key or date is void; one without action is an addition. A capture whose url is null
 or has no host matches nothing, nor does one without time. Case counts in paths, not in hosts;
-slashes at the end of an entry's key do not count. Hosts longer than a host can be
-(253 characters) have no domains above them. Repeated captures are each kept. Empty lists
+slashes at the end of an entry's key do not count. Hosts of any length have all domains
+above them, as far as an entry can match. Repeated captures are each kept. Empty lists
 block nothing; no captures give no rows. Extra columns are carried along; of columns that
 bear the name of one computed here, the computed one stays.
 """
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import same, stored
 
-LONGEST_HOST = 253
 ADDED = ("blocked", "matches")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]+)"
@@ -41,16 +40,22 @@ def key_depth(key: Column) -> Column:
     return F.size(F.split(key, "/")) - 1
 
 
-def url_keys(url: Column, depth: int | None = None) -> Column:
+def key_labels(key: Column) -> Column:
+    """How many labels the name of a key has."""
+    return F.size(F.split(F.substring_index(key, "/", 1), r"\."))
+
+
+def url_keys(url: Column, depth: int | None = None, labels_: int | None = None) -> Column:
     """The host and its domains, each alone and with every beginning of the path.
 
-    Beginnings end with a part; those of more than ``depth`` parts are left out.
+    Beginnings end with a part; those of more than ``depth`` parts are left out, and so are
+    names of more than ``labels_`` labels. Hosts may be of any length.
     """
     name = host(url)
     labels = F.split(name, r"\.")
     n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    names = F.when(F.length(name) > LONGEST_HOST, F.array(name)).otherwise(suffixes)
+    first = F.lit(1) if labels_ is None else F.greatest(F.lit(1), n - F.lit(labels_) + 1)
+    names = F.transform(F.sequence(first, n), lambda i: F.array_join(F.slice(labels, i, n), "."))
     parts = F.split(F.regexp_extract(url, _PATH, 1), "/")
     most = F.size(parts) if depth is None else F.least(F.size(parts), F.lit(depth))
     ends = F.filter(F.sequence(F.lit(0), most), lambda i: (i == 0) | (F.get(parts, i - 1) != ""))
@@ -82,9 +87,9 @@ def judge(captures: DataFrame, entries: DataFrame, blocking: str = "block", allo
     active = stored(intervals(entries), "url-intervals")
     captures = captures.drop(*ADDED)
     fetches = captures.select("url", "fetched_at").distinct()
-    # Beginnings of paths with more parts than any entry has could match nothing.
-    depth = active.agg(F.max(key_depth(F.col("key")))).first()[0] or 0
-    keyed = fetches.withColumn("key", F.explode(F.array_distinct(url_keys(F.col("url"), depth))))
+    # Names and beginnings of paths with more parts than any entry has could match nothing.
+    depth, most = active.agg(F.max(key_depth(F.col("key"))), F.max(key_labels(F.col("key")))).first()
+    keyed = fetches.withColumn("key", F.explode(F.array_distinct(url_keys(F.col("url"), depth or 0, most or 1))))
     day = F.to_date("fetched_at")
     listed = keyed.join(active, "key").filter(
         (F.col("valid_from") <= day) & (F.col("valid_until").isNull() | (day < F.col("valid_until")))

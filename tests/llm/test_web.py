@@ -146,7 +146,7 @@ CAPTURES = [
     ("nonsense", (2024, 1, 5), False, ""),
     (None, (2024, 1, 5), False, ""),
     ("http://bad.org/", None, False, ""),
-    ("http://" + "a." * 3000 + "bad.org/", (2024, 1, 15), False, ""),
+    ("http://" + "a." * 3000 + "bad.org/", (2024, 1, 15), True, "block:bad.org"),
 ]
 
 

@@ -117,6 +117,21 @@ flagged AS (
     OR coalesce(z_trip_distance > 1.5, FALSE) AS is_anomaly
   FROM scored)"""
 
+# Every hour of each zone and type from its first day to its last.
+_DEMAND = f"""
+hourly_ AS ({_HOURLY}),
+days_ AS (
+  SELECT pickup_location_id, taxi_type, CAST(unnest(generate_series(min(pickup_date), max(pickup_date), INTERVAL 1 DAY)) AS DATE)
+    AS pickup_date
+  FROM hourly_ GROUP BY pickup_location_id, taxi_type),
+hours_ AS (SELECT *, CAST(unnest(range(24)) AS INTEGER) AS pickup_hour FROM days_),
+demand_ AS (
+  SELECT s.*, CAST(dayofweek(s.pickup_date) + 1 AS INTEGER) AS pickup_dow, CAST(month(s.pickup_date) AS INTEGER) AS pickup_month,
+    coalesce(h.trip_count, 0) AS trip_count
+  FROM hours_ s LEFT JOIN hourly_ h USING (pickup_date, pickup_hour, pickup_location_id, taxi_type))"""
+
+_ORIGINS = ("2023-02-10", "2023-03-01", "2023-03-20")
+
 _FARES = f"""
 SELECT * FROM ({_HOURLY}) WHERE taxi_type IN ('yellow', 'green') AND avg_fare > 0 AND avg_fare < 200"""
 
@@ -132,6 +147,24 @@ def _split(rows: str, keys: list[str], label: str) -> str:
 FROM {rows} GROUP BY 1"""
 
 
+def _checks(rows: str, label: str) -> str:
+    """Mean and deviation of the features of training rows, types numbered by how many rows they have."""
+    text = ", ".join(f"CAST({key} AS VARCHAR)" for key in _HOURLY_KEYS)
+    slot = f"CAST('0x' || substr(md5(concat_ws('|', {text}, '42')), 1, 8) AS BIGINT) % 10000"
+    names = ("pickup_location_id", "pickup_hour", "pickup_dow", "pickup_month", "taxi_type_idx")
+    each = " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, COUNT(*) AS \"rows\", round(avg({name}), 6) AS mean, "
+        f"round(stddev_samp({name}), 6) AS deviation, TRUE AS optimal FROM indexed"
+        for name in names
+    )
+    return f"""train_ AS (SELECT * FROM {rows} WHERE {slot} < 8000),
+types_ AS (
+  SELECT taxi_type, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, taxi_type) - 1 AS DOUBLE) AS taxi_type_idx
+  FROM train_ GROUP BY taxi_type),
+indexed AS (SELECT * FROM train_ JOIN types_ USING (taxi_type))
+{each}"""
+
+
 _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -248,8 +281,29 @@ UNION ALL SELECT 'load', 'status', '{{}}', NULL, 'success'""",
     "reprocessed_daily_stats": _ALL + _daily("day(pickup_datetime) % 2 = 0"),
     "fare_split": f"""{_ALL}, rows_ AS ({_FARES})
 {_split("rows_", _HOURLY_KEYS, "avg_fare")}""",
-    "demand_split": f"""{_ALL}, rows_ AS ({_HOURLY})
-{_split("rows_", _HOURLY_KEYS, "trip_count")}""",
+    "demand_split": f"""{_ALL}, {_DEMAND}
+{_split("demand_", _HOURLY_KEYS, "trip_count")}""",
+    "demand_grid": f"""{_ALL}, {_DEMAND}
+SELECT pickup_location_id, taxi_type, pickup_date, COUNT(*) AS hours, COUNT(*) FILTER (WHERE trip_count = 0) AS empty_hours,
+  CAST(SUM(trip_count) AS BIGINT) AS trip_count
+FROM demand_ GROUP BY ALL""",
+    "demand_backtest_baseline": f"""{_ALL}, {_DEMAND},
+pairs_ AS (
+  SELECT a.pickup_date, a.trip_count, b.trip_count AS naive FROM demand_ a
+  LEFT JOIN demand_ b ON b.pickup_date = a.pickup_date - 7 AND b.pickup_hour = a.pickup_hour
+    AND b.pickup_location_id = a.pickup_location_id AND b.taxi_type = a.taxi_type)
+{' UNION ALL '.join(
+    f"SELECT DATE '{o}' AS origin, COUNT(*) FILTER (WHERE pickup_date < DATE '{o}') AS training_rows, "
+    f"COUNT(*) FILTER (WHERE pickup_date >= DATE '{o}' AND pickup_date < DATE '{o}' + 7) AS test_rows, "
+    f"COUNT(naive) FILTER (WHERE pickup_date >= DATE '{o}' AND pickup_date < DATE '{o}' + 7) AS naive_rows, "
+    f"round(sqrt(avg((trip_count - naive) ** 2) FILTER (WHERE pickup_date >= DATE '{o}' AND pickup_date < DATE '{o}' + 7)), 6) "
+    "AS naive_rmse FROM pairs_"
+    for o in _ORIGINS)}""",
+    "fare_model_checks": f"""{_ALL}, rows_ AS ({_FARES}), {_checks("rows_", "avg_fare")}""",
+    "demand_model_checks": f"""{_ALL}, {_DEMAND}, {_checks("demand_", "trip_count")}""",
+    "cluster_checks": f"""{_ALL}
+SELECT COUNT(*) AS "rows", CAST(0 AS BIGINT) AS misplaced FROM clean
+WHERE fare_amount IS NOT NULL AND trip_duration_minutes IS NOT NULL AND trip_distance IS NOT NULL""",
     "tip_split": f"""{_ALL}, rows_ AS (
   SELECT *, CAST(tip_amount > 0 AS DOUBLE) AS tipped FROM clean
   WHERE taxi_type IN ('yellow', 'green') AND tip_amount IS NOT NULL AND payment_type IS NOT NULL)
@@ -260,9 +314,9 @@ SELECT 'model_fare' AS job, part || 'ing_rows' AS metric, '{{}}' AS labels, CAST
 FROM parts WHERE part = 'train'
 UNION ALL SELECT 'model_fare', part || '_rows', '{{}}', "rows", NULL FROM parts WHERE part = 'test'
 UNION ALL SELECT 'model_fare', 'status', '{{}}', NULL, 'ready'""",
-    "demand_actuals": f"""{_ALL}
+    "demand_actuals": f"""{_ALL}, {_DEMAND}
 SELECT pickup_location_id, CAST(SUM(trip_count) AS BIGINT) AS actual_trips, COUNT(*) AS hours
-FROM ({_HOURLY}) GROUP BY pickup_location_id""",
+FROM demand_ GROUP BY pickup_location_id""",
     "cluster_input": f"""{_ALL},
 whole AS (
   SELECT fare_amount, trip_duration_minutes, trip_distance FROM clean

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.moments import TRIPS
@@ -20,6 +20,7 @@ from kerbside.sources.listing import list_files, probe_files, with_source
 from kerbside.sources.raw import folder_id, scan_sources, source_rows
 
 JOB = "transform"
+OBSERVED_SOURCES = 100
 
 
 def run(
@@ -69,20 +70,19 @@ def ingest(
         store.append("run_metrics", metric_rows(spark, JOB, [("idle", {}, 1, None), _last_run()]))
         return store.log("manifest").limit(0)
 
-    accounts: dict[tuple, Row] = {}
+    accounts: dict[tuple, tuple[int, int]] = {}
     seconds: dict[str, float] = {}
-    for taxi_type in sorted({row.taxi_type for row in usable}):
-        began = time.time()
-        own = [row for row in usable if row.taxi_type == taxi_type]
+    if usable:
         named = spark.createDataFrame(
-            sorted({(taxi_type, row.file_name, row.source_month, row.source_folder) for row in own}, key=str),
+            sorted({(row.taxi_type, row.file_name, row.source_month, row.source_folder) for row in usable}, key=str),
             "taxi_type string, source_file string, source_month date, source_folder string",
         ).select("taxi_type", "source_file", "source_month", "source_folder", folder_id().alias("folder_id"))
-        trips = scan_sources(spark, own, files, skip_damage=True)
-        store.write_states(partials(trips, min_year, as_of.year if as_of else None), named.drop("source_folder"))
-        refresh_datasets(store, [taxi_type], _months_of(own))
-        accounts |= _accounts(store, taxi_type, named)
-        seconds[taxi_type] = time.time() - began
+        states = partials(scan_sources(spark, usable, files, skip_damage=True), min_year, as_of.year if as_of else None)
+        accounts = _write_and_count(store, states, named)
+        # All types go through each job together, and share its time.
+        months = _months_of(usable)
+        refresh_datasets(store, sorted(months), months)
+        seconds = {taxi_type: (time.time() - started) / len(months) for taxi_type in months}
 
     entries = _manifest_entries(usable, unusable, accounts)
     store.append("manifest", _manifest_frame(spark, entries))
@@ -90,47 +90,74 @@ def ingest(
     return _manifest_frame(spark, entries)
 
 
-def _months_of(sources: Sequence[Row]) -> list[dt.date] | None:
-    """Months whose trips these sources can hold; None for all: an undated one may hold any."""
-    months = {row.source_month for row in sources}
-    return None if None in months else sorted(months)
+def _months_of(sources: Sequence[Row]) -> dict[str, list[dt.date] | None]:
+    """Per taxi type the months whose trips its sources can hold; None for all: an undated one may hold any."""
+    found: dict[str, set] = {}
+    for row in sources:
+        found.setdefault(row.taxi_type, set()).add(row.source_month)
+    return {taxi_type: None if None in months else sorted(months) for taxi_type, months in found.items()}
 
 
-def refresh_datasets(store: Store, types: Sequence[str], months: Sequence[dt.date] | None = None) -> None:
+def refresh_datasets(
+    store: Store, types: Sequence[str], months: Mapping[str, Sequence[dt.date] | None] | None = None
+) -> None:
     """Roll the given months of taxi types up from their states (all months by default).
 
-    Dated datasets and the monthly states are replaced month by month; the datasets
-    without a date follow from the monthly states.
+    All types go through each write together. Dated datasets and the monthly states are
+    replaced month by month; the datasets without a date follow from the monthly states.
     """
-    kind = F.col("taxi_type").isin(*types)
-    states = store.states().filter(kind)
-    present = states.select("taxi_type", F.date_format("pickup_date", "yyyy-MM").alias("month"))
-    if months is None:
-        touched = present.filter("month IS NOT NULL").union(store.months(types)).distinct()
-    else:
-        names = [f"{month:%Y-%m}" for month in months]
-        # Only these sources and the undated ones can hold trips of these months.
-        states = states.filter(F.col("source_month").isNull() | F.col("source_month").isin(*months))
-        states = states.filter(F.date_format("pickup_date", "yyyy-MM").isin(*names))
-        each = F.explode(F.array(*map(F.lit, names))).alias("month")
-        touched = store.spark.createDataFrame([(t,) for t in types], "taxi_type string").select("taxi_type", each)
-    # A row per type and month: kept, since the plans below would read the states for it again.
-    touched = store.spark.createDataFrame(touched.collect(), "taxi_type string, month string")
+    months = {t: (months or {}).get(t) for t in types}
+    schema = "taxi_type string, month string"
+    whole = [t for t in types if months[t] is None]
+    named = {t: [f"{month:%Y-%m}" for month in months[t]] for t in types if months[t] is not None}
+    day = F.date_format("pickup_date", "yyyy-MM")
+    states = store.states().filter(F.col("taxi_type").isin(*types))
+    wanted = F.col("taxi_type").isin(*whole)
+    for taxi_type, names in named.items():
+        # Only the sources of these months and the undated ones can hold trips of them.
+        source = F.col("source_month").isNull() | F.col("source_month").isin(*months[taxi_type])
+        wanted = wanted | ((F.col("taxi_type") == taxi_type) & source & day.isin(*names))
+    touched = [(taxi_type, name) for taxi_type, names in named.items() for name in names]
+    if whole:
+        # A row per type and month: kept, since the plans below would read the states for it again.
+        present = states.filter(F.col("taxi_type").isin(*whole)).select("taxi_type", day.alias("month"))
+        touched += present.filter("month IS NOT NULL").union(store.months(whole)).distinct().collect()
+    states = states.filter(wanted)
+    touched = store.spark.createDataFrame(touched, schema)
     store.write_monthly(monthly(states), touched)
-    rolled = store.monthly().filter(kind)
-    every = store.spark.createDataFrame([(t, None) for t in types], "taxi_type string, month string")
+    rolled = store.monthly().filter(F.col("taxi_type").isin(*types))
+    every = store.spark.createDataFrame([(t, None) for t in types], schema)
     for name, aggregate in AGGREGATES.items():
         store.write_dataset(name, aggregate(states if dated(name) else rolled), touched if dated(name) else every)
 
 
-def _accounts(store: Store, taxi_type: str, sources: DataFrame) -> dict[tuple, Row]:
-    """Rows read and kept of each source just written; one row per source comes to the driver."""
-    states = store.states().filter(F.col("taxi_type") == taxi_type).select(
-        "source_file", "source_month", "folder_id", "taxi_type", "rejected_by", TRIPS
-    )
-    rows = source_accounts(states)
-    found = lookup_join(rows, sources.select("source_file", "folder_id", "source_folder"), ["source_file", "folder_id"])
-    return {(row.source_folder, row.source_file): row for row in found.collect()}
+def _write_and_count(store: Store, states: DataFrame, named: DataFrame) -> dict[tuple, tuple[int, int]]:
+    """Write the states; rows read and kept of each source, counted as they are written.
+
+    So many sources that an observation of each would slow the write are counted in what
+    was written instead: a row per source comes to the driver either way.
+    """
+    sources = named.drop("source_folder")
+    known = named.select("taxi_type", "source_folder", "source_file", "folder_id").collect()
+    if len(known) > OBSERVED_SOURCES:
+        store.write_states(states, sources)
+        written = store.states().filter(F.col("taxi_type").isin(*{row.taxi_type for row in known}))
+        rows = source_accounts(written.select("source_file", "source_month", "folder_id", "taxi_type", "rejected_by", TRIPS))
+        lookup = named.select("source_file", "folder_id", "source_folder")
+        found = lookup_join(rows, lookup, ["source_file", "folder_id"], lookup_rows=len(known))
+        return {(row.source_folder, row.source_file): (row.rows_in, row.rows_kept) for row in found.collect()}
+    counts = []
+    for number, row in enumerate(known):
+        own = (F.col("source_file") == row.source_file) & (F.col("folder_id") == row.folder_id)
+        counts.append(F.sum(F.when(own, F.col(TRIPS))).alias(f"in_{number}"))
+        counts.append(F.sum(F.when(own & F.col("rejected_by").isNull(), F.col(TRIPS))).alias(f"kept_{number}"))
+    observation = Observation()
+    store.write_states(states, sources, observation, counts)
+    got = observation.get
+    return {
+        (row.source_folder, row.source_file): (got[f"in_{number}"] or 0, got[f"kept_{number}"] or 0)
+        for number, row in enumerate(known)
+    }
 
 
 def _split_sources(sources: Sequence[Row]) -> tuple[list[Row], list[Row]]:
@@ -141,7 +168,7 @@ def _split_sources(sources: Sequence[Row]) -> tuple[list[Row], list[Row]]:
 
 
 def _manifest_entries(
-    usable: Sequence[Row], unusable: Sequence[Row], accounts: dict[tuple, Row]
+    usable: Sequence[Row], unusable: Sequence[Row], accounts: dict[tuple, tuple[int, int]]
 ) -> list[tuple]:
     """One entry per source.
 
@@ -160,9 +187,8 @@ def _manifest_entries(
         elif any(row.layout is None for row in rows):
             status = "corrupt"
         else:
-            account = accounts[folder, name]
-            status = "done" if account.rows_in == sum(row.row_count for row in rows) else "partial"
-            counts = (account.rows_in, account.rows_kept)
+            counts = accounts[folder, name]
+            status = "done" if counts[0] == sum(row.row_count for row in rows) else "partial"
         length, parts = sum(row.length for row in rows), sum(row.parts for row in rows)
         newest = max(row.newest for row in rows)
         entries.append(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import time
 from collections.abc import Sequence
@@ -18,18 +19,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from kerbside.functions.clock import calendar_columns
 from kerbside.operators.joins import lookup_join
 from kerbside.plans.metrics import metric_rows
 from kerbside.plans.store import Store
-from kerbside.schema import FARE_TYPES, MAX_LABEL_FARE, PRIMARY_KEYS, REGRESSION, SPLIT_SEED, TRAIN_SHARE
+from kerbside.schema import DATASETS, FARE_TYPES, MAX_LABEL_FARE, PRIMARY_KEYS, REGRESSION, SPLIT_SEED, TRAIN_SHARE
 
 # Columns that pipeline stages add on their way to a prediction.
 _WORKING_COLUMNS = (
     "taxi_type_idx", "payment_idx", "payment_kind", "features_raw", "features", "rawPrediction", "probability",
 )
 ZONE_FEATURES = ("pickup_location_id", "pickup_hour", "pickup_dow", "pickup_month")
+FARE_JOB = "model_fare"
+REGRESSION_FEATURES = (*ZONE_FEATURES, "taxi_type_idx")
+# By how much of the label's deviation the gradient of a fit may differ from that of the best one.
+CHECK_TOLERANCE = 1e-3
 TIP_KEYS = ("pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "taxi_type")
 CLUSTER_FEATURES = ("fare_amount", "trip_duration_minutes", "trip_distance")
+QUANTILE_BINS = 1000
+QUANTILE_PASSES = 3
 
 
 @dataclass
@@ -79,9 +87,124 @@ def train_fare(zone_hourly: DataFrame, model_path: str | None = None, weight_col
     return _train_regression(fare_training_set(zone_hourly), "avg_fare", model_path, weight_col)
 
 
+def dense_demand(zone_hourly: DataFrame) -> DataFrame:
+    """Trips of every hour of each zone and type, from its first day to its last; 0 where there were none.
+
+    Every zone and type makes its own days and hours, and one join brings the trips in.
+    """
+    zone = ["pickup_location_id", "taxi_type"]
+    days = zone_hourly.groupBy(*zone).agg(F.min("pickup_date").alias("first"), F.max("pickup_date").alias("last"))
+    days = days.select(*zone, F.explode(F.sequence("first", "last")).alias("pickup_date"))
+    hours = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("pickup_hour"))
+    keys = PRIMARY_KEYS["zone_hourly"]
+    joined = hours.join(zone_hourly.select(*keys, "trip_count"), list(keys), "left")
+    dated = joined.withColumns(calendar_columns(F.col("pickup_date")))
+    names = DATASETS["zone_hourly"].fieldNames()
+    return dated.select(*names[: names.index("trip_count")], F.coalesce("trip_count", F.lit(0)).alias("trip_count"))
+
+
 def train_demand(zone_hourly: DataFrame, model_path: str | None = None) -> Fitted:
-    """Elastic-net regression of the trip count per zone and hour."""
-    return _train_regression(zone_hourly, "trip_count", model_path)
+    """Elastic-net regression of the trip count per zone and hour, empty hours included."""
+    return _train_regression(dense_demand(zone_hourly), "trip_count", model_path)
+
+
+def backtest_baseline(demand: DataFrame, origins: Sequence[dt.date], days: int = 7) -> DataFrame:
+    """Per origin: rows before it, rows of the ``days`` from it on, those of them with a row a week
+    before, and the error of the naive forecast that repeats it. ``demand`` is dense."""
+    keys = list(PRIMARY_KEYS["zone_hourly"])
+    rows = demand.select(*keys, "trip_count")
+    before = rows.withColumnRenamed("trip_count", "naive").withColumn("pickup_date", F.date_add("pickup_date", 7))
+    # Row counts before each origin need no join; an origin is a constant of the plan.
+    both = rows.join(before, keys, "left")
+    parts = []
+    for origin in origins:
+        tested = F.col("pickup_date").between(F.lit(origin), F.lit(origin + dt.timedelta(days - 1)))
+        error = F.when(tested, F.pow(F.col("trip_count") - F.col("naive"), F.lit(2)))
+        parts.append(
+            F.struct(
+                F.lit(origin).alias("origin"),
+                F.count_if(F.col("pickup_date") < F.lit(origin)).alias("training_rows"),
+                F.count_if(tested).alias("test_rows"),
+                F.count(error).alias("naive_rows"),
+                F.sqrt(F.avg(error)).alias("naive_rmse"),
+            )
+        )
+    return both.agg(F.array(*parts).alias("origins")).select(F.inline("origins"))
+
+
+def backtest_demand(demand: DataFrame, origins: Sequence[dt.date], days: int = 7) -> DataFrame:
+    """Rolling-origin evaluation of the demand model: fitted on all rows before each origin, tested on
+    the ``days`` from it on, beside the naive forecast. One row per origin."""
+    spark = demand.sparkSession
+    demand = demand.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        baseline = backtest_baseline(demand, origins, days).collect()
+        rows = []
+        for row in baseline:
+            errors: dict[str, float] = {}
+            if row.training_rows and row.test_rows:
+                end = row.origin + dt.timedelta(days)
+                tested = demand.filter((F.col("pickup_date") >= F.lit(row.origin)) & (F.col("pickup_date") < F.lit(end)))
+                model = Pipeline(stages=_regression_stages("trip_count")).fit(demand.filter(F.col("pickup_date") < F.lit(row.origin)))
+                errors = _regression_error(model.transform(tested), "trip_count")
+            rows.append((*row, errors.get("rmse"), errors.get("mae")))
+    finally:
+        demand.unpersist()
+    schema = "origin date, training_rows bigint, test_rows bigint, naive_rows bigint, naive_rmse double, rmse double, mae double"
+    return spark.createDataFrame(rows, schema)
+
+
+def _regression_stages(label: str, weight_col: str | None = None) -> list:
+    settings = dict(REGRESSION, **({"weightCol": weight_col} if weight_col else {}))
+    return [
+        StringIndexer(inputCol="taxi_type", outputCol="taxi_type_idx", handleInvalid="keep"),
+        *_scaled(REGRESSION_FEATURES),
+        LinearRegression(featuresCol="features", labelCol=label, **settings),
+    ]
+
+
+def regression_checks(rows: DataFrame, label: str, model: PipelineModel) -> DataFrame:
+    """Whether a fitted regression is the best one, per feature, of the rows it was fitted on.
+
+    For each feature: its mean and deviation in the rows, as the scaler has them, and how far the
+    fit is from the optimum: the part of the gradient that the penalty does not hold. One aggregate.
+    """
+    fit = model.stages[-1]
+    scaled = model.transform(rows).select(
+        vector_to_array("features_raw").alias("raw"), vector_to_array("features").alias("x"),
+        (F.col(label) - F.col("prediction")).alias("residual"), F.col(label).cast("double").alias("y"),
+    )
+    names = REGRESSION_FEATURES
+    at = [F.element_at("x", i + 1) * F.col("residual") for i in range(len(names))]
+    raw = [F.element_at("raw", i + 1) for i in range(len(names))]
+    found = scaled.agg(
+        F.count(F.lit(1)), F.stddev_samp("y"), F.avg("residual"), *[F.avg(x) for x in at],
+        *[F.avg(x) for x in raw], *[F.stddev_samp(x) for x in raw],
+    ).first()
+    n, spread, offset, values = found[0], found[1], found[2], found[3:]
+    k, mix, strength = len(names), fit.getElasticNetParam(), fit.getRegParam()
+    out = []
+    for i, name in enumerate(names):
+        weight = float(fit.coefficients[i])
+        # The solver fits the label in units of its deviation; the square penalty is so in its units, too.
+        slope = -values[i] + (1 - mix) * strength / spread * weight
+        held = mix * strength
+        missed = abs(slope + math.copysign(held, weight)) if weight else max(0.0, abs(slope) - held)
+        right = missed < CHECK_TOLERANCE * spread and abs(offset) < CHECK_TOLERANCE * spread
+        out.append((name, n, values[k + i], values[2 * k + i], right))
+    return rows.sparkSession.createDataFrame(out, "feature string, rows bigint, mean double, deviation double, optimal boolean")
+
+
+def cluster_checks(placed: DataFrame, features: Column, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """Rows, and rows that lie nearer to another centre than to that of their ``cluster``."""
+    def distance(centre: Sequence[float]) -> Column:
+        parts = [F.pow(F.element_at(features, i + 1) - F.lit(float(x)), F.lit(2.0)) for i, x in enumerate(centre)]
+        return sum(parts[1:], parts[0])
+
+    every = F.array(*[distance(centre) for centre in centres])
+    own = F.element_at(every, F.col("cluster") + 1)
+    misplaced = F.count_if(own > F.array_min(every) + CHECK_TOLERANCE)
+    return placed.agg(F.count(F.lit(1)).alias("rows"), misplaced.alias("misplaced"))
 
 
 def _scaled(inputs: Sequence[str]) -> list:
@@ -95,12 +218,7 @@ def _scaled(inputs: Sequence[str]) -> list:
 def _train_regression(
     rows: DataFrame, label: str, model_path: str | None, weight_col: str | None = None
 ) -> Fitted:
-    settings = dict(REGRESSION, **({"weightCol": weight_col} if weight_col else {}))
-    stages = [
-        StringIndexer(inputCol="taxi_type", outputCol="taxi_type_idx", handleInvalid="keep"),
-        *_scaled([*ZONE_FEATURES, "taxi_type_idx"]),
-        LinearRegression(featuresCol="features", labelCol=label, **settings),
-    ]
+    stages = _regression_stages(label, weight_col)
     columns = dict.fromkeys([*PRIMARY_KEYS["zone_hourly"], *ZONE_FEATURES, label, *([weight_col] if weight_col else [])])
     # The stages pass over the rows several times. They are aggregate rows, far
     # fewer than trips, and only these columns.
@@ -128,11 +246,19 @@ def _regression_error(predictions: DataFrame, label: str) -> dict[str, float]:
 
 
 def train_fare_in_store(store: Store, model_path: str) -> Fitted:
-    """Train the fare model on the stored hourly table, with status and metrics in the log."""
-    spark, job, started = store.spark, "model_fare", time.time()
+    """Train the fare model on the stored hourly table, with status and metrics in the log.
+
+    Each model is saved in a folder of its own below ``model_path``; a log row, written last, makes
+    it the current one. A crash before that leaves the former model in force and whole.
+    """
+    spark, job, started = store.spark, FARE_JOB, time.time()
     store.append("run_metrics", metric_rows(spark, job, [("status", {}, None, "training")]))
     try:
-        fitted = train_fare(store.dataset("zone_hourly"), model_path)
+        version = 1 + (store.log("model_log").filter(F.col("job") == job).agg(F.max("version")).first()[0] or 0)
+        path = f"{model_path.rstrip('/')}/version={version}"
+        fitted = train_fare(store.dataset("zone_hourly"), path)
+        entry = spark.createDataFrame([(job, version, path)], "job string, version bigint, path string")
+        store.append("model_log", entry.withColumn("committed_at", F.current_timestamp()))
     except Exception:
         store.append("run_metrics", metric_rows(spark, job, [("status", {}, None, "failed")]))
         raise
@@ -142,6 +268,13 @@ def train_fare_in_store(store: Store, model_path: str) -> Fitted:
     return fitted
 
 
+def current_model(store: Store, job: str = FARE_JOB) -> PipelineModel | None:
+    """The newest model of a job that was saved whole; None if there is none."""
+    log = store.log("model_log").filter(F.col("job") == job)
+    row = log.agg(F.max_by("path", "version").alias("path")).first()
+    return PipelineModel.load(row.path) if row.path else None
+
+
 def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """Predictions of a fare, demand or tip model for requested zones and times.
 
@@ -234,9 +367,7 @@ def train_clusters(
             KMeans(predictionCol="cluster", weightCol="weight", k=k, seed=seed, maxIter=max_iter),
         ]
         model = Pipeline(stages=stages).fit(rows)
-        each = F.explode(F.sequence(F.lit(1), F.col("weight").cast("int"))).alias("copy")
-        distances = _place(model, rows).select("centre_distance", each)
-        limit = distances.agg(F.percentile_approx("centre_distance", cut, 10_000)).first()[0]
+        limit = weighted_quantile(_place(model, rows), "centre_distance", "weight", cut)
     finally:
         rows.unpersist()
     if model_path:
@@ -244,6 +375,34 @@ def train_clusters(
     return TripClusters(model, limit)
 
 
+def weighted_quantile(rows: DataFrame, value: str, weight: str, share: float) -> float | None:
+    """The least value that, with all below it, has ``share`` of the weight of all rows.
+
+    Weights are counted exactly in bins between two bounds, and the bounds drawn around the
+    bin in which the share is reached. A pass is one aggregate of at most ``QUANTILE_BINS``
+    groups, whatever the number of rows and their weights. After the last pass the result
+    lies at most ``QUANTILE_BINS ** -QUANTILE_PASSES`` of the range above the exact value.
+    """
+    rows = rows.select(F.col(value).alias("v"), F.col(weight).cast("double").alias("w")).filter("v IS NOT NULL AND w > 0")
+    low, high, total = rows.agg(F.min("v"), F.max("v"), F.sum("w")).first()
+    if low is None:
+        return None
+    rank, below = share * total, 0.0
+    for _ in range(QUANTILE_PASSES):
+        if low == high:
+            break
+        place = F.floor((F.col("v") - F.lit(low)) / F.lit(high - low) * QUANTILE_BINS)
+        within = rows.filter(F.col("v").between(F.lit(low), F.lit(high)))
+        bins = within.groupBy(F.least(place, F.lit(QUANTILE_BINS - 1)).alias("bin"))
+        counted = bins.agg(F.sum("w").alias("w"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+        for found in sorted(counted, key=lambda row: row.bin):
+            low, high = found.low, found.high
+            if below + found.w >= rank:
+                break
+            below += found.w
+    return high
+
+
 def cluster_moments(rows: DataFrame) -> dict[str, tuple[float, float]]:
     """Mean and sample deviation of the cluster features of weighted rows."""
     weight = F.col("weight")

@@ -6,7 +6,7 @@ Layout below the root folder::
     monthly/taxi_type=…/month=…/                      states per month, zone and hour
     datasets/{name}/taxi_type=…/month=…/              the four aggregates (month=all if undated)
     serving/{name}/version=…/taxi_type=…/             keyed serving tables, a version per load
-    log/{manifest,load_log,serving_log,run_metrics}/
+    log/{manifest,load_log,serving_log,model_log,run_metrics}/
 
 A raw source owns its state partition, so that processing it again replaces it. A
 partition that has lost all rows holds a marker, so that it is replaced as well.
@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions.moments import TRIPS, UNITS, state_columns
 from kerbside.operators.keyed import conform
-from kerbside.schema import DATASETS, LOAD_LOG, MANIFEST, RUN_METRICS, SERVING_LOG
+from kerbside.schema import DATASETS, LOAD_LOG, MANIFEST, MODEL_LOG, RUN_METRICS, SERVING_LOG
 from kerbside.sources.processed import read_or_empty
 from kerbside.workspace import remove
 
@@ -56,6 +56,7 @@ LOGS = {
     "manifest": MANIFEST,
     "load_log": LOAD_LOG,
     "serving_log": SERVING_LOG,
+    "model_log": MODEL_LOG,
     "run_metrics": RUN_METRICS,
 }
 
@@ -72,11 +73,18 @@ class Store:
     def states(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/states", STATE_SCHEMA)
 
-    def write_states(self, partials: DataFrame, sources: DataFrame | None = None) -> None:
+    def write_states(
+        self,
+        partials: DataFrame,
+        sources: DataFrame | None = None,
+        observation: Observation | None = None,
+        observed: Sequence[Column] = (),
+    ) -> None:
         """Replace the state partitions of the sources in ``partials``.
 
         ``sources`` (taxi_type, source_file, source_month) adds one empty accounting
         row each, so that a source without any rows replaces its partition as well.
+        ``observation`` gets the ``observed`` aggregates of the rows as they are written.
         """
         rows = partials
         if sources is not None:
@@ -84,7 +92,13 @@ class Store:
             markers = sources.withColumns({"rejected_by": F.lit("marker"), **zeros})
             rows = rows.unionByName(markers, allowMissingColumns=True)
         self._overwrite_partitions(
-            conform(rows, STATE_SCHEMA), f"{self.root}/states", "taxi_type", "source_file", "folder_id"
+            conform(rows, STATE_SCHEMA),
+            f"{self.root}/states",
+            "taxi_type",
+            "source_file",
+            "folder_id",
+            observation=observation,
+            observed=observed,
         )
 
     def monthly(self) -> DataFrame:
@@ -121,12 +135,23 @@ class Store:
         both = rows.unionByName(partitions.select("taxi_type", "month"), allowMissingColumns=True)
         self._overwrite_partitions(both, f"{self.root}/{folder}", "taxi_type", "month")
 
-    def _overwrite_partitions(self, rows: DataFrame, path: str, *columns: str) -> None:
+    def _overwrite_partitions(
+        self,
+        rows: DataFrame,
+        path: str,
+        *columns: str,
+        observation: Observation | None = None,
+        observed: Sequence[Column] = (),
+    ) -> None:
         # REBALANCE gathers the rows of a partition in few tasks, hence few files,
         # but lets adaptive execution split a partition that is too large for one.
+        rows = rows.hint("rebalance", *columns)
+        if observation is not None:
+            # Observed behind the exchange, in the tasks that write: those count once
+            # each, whatever is run again. A stage before it may count twice.
+            rows = rows.observe(observation, *observed)
         (
-            rows.hint("rebalance", *columns)
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*columns)
             .parquet(path)

@@ -422,7 +422,65 @@ def fare_split(spark, sf):
 @query
 def demand_split(spark, sf):
     """What the demand model learns from and is tested on."""
-    return _split_report(agg.zone_hourly(_clean(spark, sf)), PRIMARY_KEYS["zone_hourly"], "trip_count")
+    return _split_report(_demand(spark, sf), PRIMARY_KEYS["zone_hourly"], "trip_count")
+
+
+def _demand(spark: SparkSession, sf: str) -> DataFrame:
+    return models.dense_demand(agg.zone_hourly(_clean(spark, sf)))
+
+
+@query
+def demand_grid(spark, sf):
+    """Hours with and without trips, per day of each zone and type."""
+    return _demand(spark, sf).groupBy("pickup_location_id", "taxi_type", "pickup_date").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.count_if(F.col("trip_count") == 0).alias("empty_hours"),
+        F.sum("trip_count").alias("trip_count"),
+    )
+
+
+BACKTEST_ORIGINS = (dt.date(2023, 2, 10), dt.date(2023, 3, 1), dt.date(2023, 3, 20))
+
+
+@query
+def demand_backtest_baseline(spark, sf):
+    """What each origin is fitted and tested on, and the forecast of the week before."""
+    found = models.backtest_baseline(_demand(spark, sf), BACKTEST_ORIGINS)
+    return found.withColumn("naive_rmse", F.round("naive_rmse", 6))
+
+
+@query
+def demand_backtest(spark, sf):
+    """The demand model from several origins on."""
+    return models.backtest_demand(_demand(spark, sf), BACKTEST_ORIGINS)
+
+
+@query
+def fare_model_checks(spark, sf):
+    """The fare model's scaling, and that no other coefficients are better, on what it was fitted on."""
+    hourly = written(agg.zone_hourly(_clean(spark, sf)), "hourly")
+    training, _ = models.hash_split(models.fare_training_set(hourly), PRIMARY_KEYS["zone_hourly"])
+    return _rounded_checks(models.regression_checks(training, "avg_fare", models.train_fare(hourly).model))
+
+
+@query
+def demand_model_checks(spark, sf):
+    """The same of the demand model."""
+    hourly = written(agg.zone_hourly(_clean(spark, sf)), "hourly")
+    training, _ = models.hash_split(models.dense_demand(hourly), PRIMARY_KEYS["zone_hourly"])
+    return _rounded_checks(models.regression_checks(training, "trip_count", models.train_demand(hourly).model))
+
+
+def _rounded_checks(found: DataFrame) -> DataFrame:
+    return found.withColumns({name: F.round(name, 6) for name in ("mean", "deviation")})
+
+
+@query
+def cluster_checks(spark, sf):
+    """Trips in clusters; none of them is nearer to another centre."""
+    fitted = models.train_clusters(_clean(spark, sf))
+    placed = fitted.model.transform(_clean(spark, sf).dropna(subset=list(models.CLUSTER_FEATURES)))
+    return models.cluster_checks(placed, models.vector_to_array("features"), fitted.model.stages[-1].clusterCenters())
 
 
 @query
@@ -473,7 +531,7 @@ def demand_forecast(spark, sf):
 @query
 def demand_vs_actual(spark, sf):
     hourly = written(agg.zone_hourly(_clean(spark, sf)), "hourly")
-    forecast = models.score(models.train_demand(hourly).model, hourly)
+    forecast = models.score(models.train_demand(hourly).model, models.dense_demand(hourly))
     return serving.demand_vs_actual(forecast)
 
 

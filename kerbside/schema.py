@@ -202,6 +202,7 @@ LOAD_LOG = _struct(
     loaded_at=_INSTANT,
 )
 SERVING_LOG = _struct(dataset=_STRING, taxi_type=_STRING, version=_LONG, rows=_LONG, committed_at=_INSTANT)
+MODEL_LOG = _struct(job=_STRING, version=_LONG, path=_STRING, committed_at=_INSTANT)
 RUN_METRICS = _struct(
     job=_STRING,
     metric=_STRING,

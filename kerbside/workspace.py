@@ -65,10 +65,22 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             remove(spark, folder)
 
 
+def _located(spark: SparkSession, folder: str) -> tuple:
+    """The file system of a folder, and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Remove a folder, in whatever file system it is."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    system, path = _located(spark, folder)
+    system.delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether there is such a folder, in whatever file system."""
+    system, path = _located(spark, folder)
+    return system.exists(path)
 
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:

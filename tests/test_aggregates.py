@@ -41,6 +41,14 @@ def test_averages_are_bit_equal_in_any_partitioning(derived):
     assert rows_of(agg.daily_stats(agg.partials(derived.repartition(5), as_of_year=2025))) == once
 
 
+def test_deviations_are_bit_equal_in_any_partitioning(derived):
+    clean = rules.clean(rules.validate_month(derived), as_of_year=2025)
+    once = rows_of(agg.zone_anomaly_stats(clean))
+    assert rows_of(agg.zone_anomaly_stats(clean.repartition(13))) == once
+    assert rows_of(agg.zone_anomaly_stats(agg.partials(derived.repartition(5), as_of_year=2025))) == once
+    assert rows_of(agg.zone_anomaly_stats(agg.monthly(agg.partials(derived, as_of_year=2025)))) == once
+
+
 def test_deviation_against_plain_arithmetic(trips):
     fares = {1: [10.0], 2: [5.0, 9.0], 3: [1.25, 2.5, 900.0, 3.75]}
     frame = trips(*[{"pickup_location_id": z, "fare_amount": x} for z, xs in fares.items() for x in xs])

@@ -192,3 +192,72 @@ def test_heatmap_ties_and_hotspots(spark, clean):
     assert profile[2].morning_share == 2 / 3 and profile[2].evening_share == 0
     spots = serving.hotspots(agg.zone_time_buckets(clean), k=3).collect()
     assert {r.cluster for r in spots} == {0, 1, 2}
+
+
+def test_a_crash_while_saving_leaves_the_former_model(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    assert models.current_model(store) is None
+    store.write_states(agg.partials(fixtures.trips(spark, SF), as_of_year=2025))
+    ingest.refresh_datasets(store, ["yellow", "green"])
+    first = models.train_fare_in_store(store, str(tmp_path / "fare"))
+    train = models.train_fare
+
+    def crash(rows, path):
+        train(rows, path)
+        raise OSError("after most of it was written")
+
+    monkeypatch.setattr(models, "train_fare", crash)
+    with pytest.raises(OSError):
+        models.train_fare_in_store(store, str(tmp_path / "fare"))
+    assert models.current_model(store).stages[-1].coefficients == first.model.stages[-1].coefficients
+    monkeypatch.setattr(models, "train_fare", train)
+    models.train_fare_in_store(store, str(tmp_path / "fare"))
+    assert [r.version for r in store.log("model_log").orderBy("version").collect()] == [1, 2]
+    assert sorted(p.name for p in (tmp_path / "fare").iterdir()) == ["version=1", "version=2"]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.25, 0.5, 0.99, 1.0])
+def test_weighted_quantile_against_repeated_values(spark, share):
+    """Within the stated error of the exact value, and exact for few distinct values."""
+    pairs = [((i * 7919 % 1009) ** 2 / 37.0, 1 + i % 5) for i in range(800)] + [(None, 3), (5.0, 0)]
+    exact = sorted(v for v, w in pairs if v is not None for _ in range(w))
+    want = exact[max(0, math.ceil(share * len(exact)) - 1)]
+    rows = spark.createDataFrame(pairs, "v double, w bigint")
+    got = models.weighted_quantile(rows, "v", "w", share)
+    assert want <= got <= want + (exact[-1] - exact[0]) * models.QUANTILE_BINS**-models.QUANTILE_PASSES
+    assert models.weighted_quantile(rows.limit(0), "v", "w", share) is None
+
+
+def test_a_row_of_large_weight_is_one_row(spark):
+    rows = spark.createDataFrame([(1.0, 10**9), (2.0, 10**11), (3.0, 1)], "v double, w bigint")
+    assert [models.weighted_quantile(rows, "v", "w", share) for share in (0.005, 0.5, 1.0)] == [1.0, 2.0, 3.0]
+
+
+def test_dense_demand_fills_hours_without_trips(trips):
+    rows = [{"pickup_datetime": dt.datetime(2023, 1, day, hour), "dropoff_datetime": dt.datetime(2023, 1, day, hour, 30)} for day, hour in ((5, 7), (5, 7), (7, 23))]
+    hourly = agg.zone_hourly(rules.clean(trips(*rows, {"pickup_location_id": 9}), as_of_year=2025))
+    found = {(r.pickup_location_id, r.pickup_date.day, r.pickup_hour): r for r in models.dense_demand(hourly).collect()}
+    assert len(found) == 3 * 24 + 24
+    assert {key: r.trip_count for key, r in found.items() if r.trip_count} == {(7, 5, 7): 2, (7, 7, 23): 1, (9, 10, 9): 1}
+    assert (found[7, 6, 0].pickup_dow, found[7, 6, 0].pickup_month, found[7, 6, 0].pickup_year) == (6, 1, 2023)
+
+
+def test_backtest_looks_at_the_past_only(spark, hourly):
+    demand = models.dense_demand(hourly)
+    origin = dt.date(2023, 3, 1)
+    row = models.backtest_demand(demand, [origin, dt.date(2030, 1, 1)]).orderBy("origin").collect()
+    assert row[0].training_rows == demand.filter(F.col("pickup_date") < F.lit(origin)).count()
+    assert row[0].test_rows == demand.filter(F.col("pickup_date").between(F.lit(origin), F.lit(dt.date(2023, 3, 7)))).count()
+    assert 0 < row[0].rmse < 5 and row[0].naive_rmse > 0
+    assert (row[1].test_rows, row[1].rmse, row[1].naive_rmse) == (0, None, None)
+    # What comes after the days tested changes nothing.
+    past = models.backtest_demand(demand.filter(F.col("pickup_date") <= F.lit(dt.date(2023, 3, 7))), [origin]).first()
+    assert past.rmse == pytest.approx(row[0].rmse)
+
+
+def test_checks_find_coefficients_that_are_not_the_best(hourly):
+    training = models.fare_training_set(hourly)
+    fitted = models._train_regression(training, "avg_fare", None).model
+    train, test = models.hash_split(training, models.PRIMARY_KEYS["zone_hourly"])
+    assert all(r.optimal for r in models.regression_checks(train, "avg_fare", fitted).collect())
+    assert not all(r.optimal for r in models.regression_checks(test, "avg_fare", fitted).collect())

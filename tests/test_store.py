@@ -1,5 +1,7 @@
 import datetime as dt
 import os
+import subprocess
+import sys
 
 import pyarrow.parquet as pq
 import pytest
@@ -257,3 +259,54 @@ def test_command_line(spark, tmp_path, raw_tables, capsys):
     main(["status", root])
     assert "rows_loaded" in capsys.readouterr().out
     assert Store(spark, root).serving("daily_stats").count() > 0
+
+
+def test_accounts_are_those_of_the_states(spark, tmp_path, raw_tables, monkeypatch):
+    """Counted as they are written, or afterwards in what was written."""
+    found = []
+    write(tmp_path / "raw", raw_tables)
+    for most in (ingest.OBSERVED_SOURCES, 0):
+        monkeypatch.setattr(ingest, "OBSERVED_SOURCES", most)
+        store = Store(spark, str(tmp_path / f"store{most}"))
+        ingest.run(spark, str(tmp_path / "raw"), store.root, AS_OF)
+        states = agg.source_accounts(store.states()).select("source_file", "rows_in", "rows_kept")
+        manifest = store.log("manifest").select(F.col("file_name").alias("source_file"), "rows_in", "rows_kept")
+        found.append(rows_of(manifest))
+        assert found[-1] == rows_of(states)
+    assert found[0] == found[1]
+
+
+def test_a_task_that_runs_twice_is_counted_once(tmp_path):
+    """In a session that retries: the first attempt of every task that writes states fails late."""
+    code = f"""
+import sys
+sys.path[:0] = {[os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]!r}
+from pyspark import TaskContext
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from kerbside import fixtures
+from kerbside.operators import aggregates as agg
+from kerbside.plans.store import Store
+from kerbside.workspace import session
+
+spark = session(**{{"spark.master": "local[2,4]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "3"}})
+store = Store(spark, {str(tmp_path)!r})
+states = agg.partials(fixtures.trips(spark, {SF!r}), as_of_year=2025)
+def failing(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise OSError("lost")
+
+def observe_and_fail(frame, *observed):
+    return plain(frame, *observed).mapInArrow(failing, frame.schema)
+
+plain, type(states).observe = type(states).observe, observe_and_fail
+seen = Observation()
+store.write_states(states, None, seen, [F.sum("trips").alias("n")])
+type(states).observe = plain
+assert seen.get["n"] == store.states().agg(F.sum("trips")).first()[0] == fixtures.trips(spark, {SF!r}).count(), seen.get
+print("counted once")
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path)
+    assert "counted once" in done.stdout, done.stderr[-2000:]

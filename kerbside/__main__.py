@@ -8,7 +8,7 @@ import sys
 
 from pyspark.sql import DataFrame
 
-from kerbside.plans import ingest, load, models
+from kerbside.plans import flags, ingest, load, models
 from kerbside.plans.metrics import latest_metrics
 from kerbside.plans.store import Store
 from kerbside.streaming.intake import run_stream
@@ -34,9 +34,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load_ = stage("load", "upsert changed datasets into the serving tables")
     for sub in (run, load_):
         sub.add_argument("--force", action="store_true", help="treat everything as pending")
+    load_.add_argument("--merge", action="store_true", help="keep rows that are gone from the datasets")
+    flag_ = stage("flag", "flag trips of ingested files against the zone statistics", raw=True)
+    flag_.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
+    flag_.add_argument("--threshold", type=float, default=flags.THRESHOLD)
     stage("train-fare", "train the fare model").add_argument("model_dir")
     stage("reset", "make a stage start afresh").add_argument(
-        "--only", choices=("transform", "load"), default=None
+        "--only", choices=("transform", "load", "flag"), default=None
     )
     stage("status", "show the latest metrics")
     return parser.parse_args(argv)
@@ -58,7 +62,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.stage == "stream":
         run_stream(spark, args.raw_dir, args.store_dir, args.checkpoint, args.as_of).awaitTermination()
     elif args.stage == "load":
-        _print(load.load(spark, args.store_dir, force=args.force))
+        _print(load.load(spark, args.store_dir, force=args.force, merge=args.merge))
+    elif args.stage == "flag":
+        _print(flags.flag(spark, args.raw_dir, args.store_dir, args.as_of, args.threshold))
     elif args.stage == "train-fare":
         _print(models.train_fare_in_store(store, args.model_dir).metrics_frame(spark))
     elif args.stage == "reset":

@@ -32,12 +32,12 @@ def fingerprints(files: DataFrame) -> DataFrame:
     )
 
 
-def pending(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """All files of the sources that have not been processed to the end as they are now.
+def pending(files: DataFrame, manifest: DataFrame, stage: str = "transform") -> DataFrame:
+    """All files of the sources that a stage has not processed to the end as they are now.
 
     A source that has gained, lost or changed a file since is pending as a whole.
     """
-    settled = latest_status(manifest.filter(F.col("stage") == "transform")).filter(F.col("status").isin(*SETTLED))
+    settled = latest_status(manifest.filter(F.col("stage") == stage)).filter(F.col("status").isin(*SETTLED))
     known = [name for name in _FINGERPRINT if name in settled.columns]
     now = fingerprints(files)
     unchanged = F.lit(True)

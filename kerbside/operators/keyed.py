@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, size_within
+
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in all floating-point columns."""
@@ -60,6 +62,28 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def upsert_small(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The same as ``upsert``, without moving the target, if ``source`` is small.
+
+    A source within the bounds, which are measured, is broadcast: the target is read in
+    place once for its rows, and once more, by its keys only, for what of the source is
+    new. No more keys than the source has come out of that. A larger source goes through
+    ``upsert``. The source is read three times: give a stored one.
+    """
+    if size_within(source, broadcast_rows, broadcast_bytes) is None:
+        return upsert(target, source, keys)
+    updated = _merge(target, source, keys, "left", F.broadcast)
+    held = target.select(*keys).join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+    added = source.join(F.broadcast(held), list(keys), "left_anti")
+    return updated.unionByName(added, allowMissingColumns=True)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` after inserting or updating the rows of ``source`` by ``keys``.
 
@@ -67,6 +91,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     lacks keep their value, or are NULL in new rows. Keys are unique on both
     sides, so the join meets at most one partner per row.
     """
+    return _merge(target, source, keys, "full_outer", lambda frame: frame)
+
+
+def _merge(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], how: str, hinted: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The target joined with the source by ``how``, each column from the source where it has the row."""
     unknown = [name for name in source.columns if name not in target.columns]
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
@@ -75,7 +106,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         F.lit(True).alias("_incoming"),
         *[F.col(name).alias(f"_new_{name}") for name in source.columns if name not in keys],
     )
-    joined = target.join(incoming, list(keys), "full_outer")
+    joined = target.join(hinted(incoming), list(keys), how)
 
     def merged(name: str):
         if name in keys or name not in source.columns:

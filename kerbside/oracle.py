@@ -68,6 +68,16 @@ SELECT pickup_date, taxi_type, COUNT(*) AS trip_count, {_AVG_MINUTES} AS avg_dur
 FROM clean WHERE {where} GROUP BY ALL"""
 
 
+_UPSERTED = f"""{_ALL},
+old AS ({_daily("source_month IS NULL OR source_month <= DATE '2023-02-01'")}),
+new AS ({_daily("source_month IS NULL OR source_month >= DATE '2023-02-01'")})
+SELECT pickup_date, taxi_type, coalesce(n.trip_count, o.trip_count) AS trip_count,
+  coalesce(n.avg_duration_minutes, o.avg_duration_minutes) AS avg_duration_minutes,
+  CASE WHEN n.trip_count IS NOT NULL THEN n.total_passengers ELSE o.total_passengers END AS total_passengers,
+  o.avg_fare,
+  CASE WHEN n.trip_count IS NOT NULL THEN n.total_revenue ELSE o.total_revenue END AS total_revenue
+FROM old o FULL JOIN new n USING (pickup_date, taxi_type)"""
+
 _BUCKETS = """
 SELECT pickup_location_id, time_bucket, taxi_type, COUNT(*) AS trip_count FROM clean GROUP BY ALL"""
 
@@ -231,15 +241,8 @@ WHERE source_month IS NULL OR source_month <> DATE '2023-01-01'""",
 SELECT d.dataset, t.taxi_type FROM (SELECT DISTINCT taxi_type FROM named) t
 CROSS JOIN (SELECT unnest(['zone_hourly', 'daily_stats', 'zone_time_buckets', 'zone_anomaly_stats']) AS dataset) d
 WHERE t.taxi_type <> 'yellow'""",
-    "upsert_daily_stats": f"""{_ALL},
-old AS ({_daily("source_month IS NULL OR source_month <= DATE '2023-02-01'")}),
-new AS ({_daily("source_month IS NULL OR source_month >= DATE '2023-02-01'")})
-SELECT pickup_date, taxi_type, coalesce(n.trip_count, o.trip_count) AS trip_count,
-  coalesce(n.avg_duration_minutes, o.avg_duration_minutes) AS avg_duration_minutes,
-  CASE WHEN n.trip_count IS NOT NULL THEN n.total_passengers ELSE o.total_passengers END AS total_passengers,
-  o.avg_fare,
-  CASE WHEN n.trip_count IS NOT NULL THEN n.total_revenue ELSE o.total_revenue END AS total_revenue
-FROM old o FULL JOIN new n USING (pickup_date, taxi_type)""",
+    "upsert_daily_stats": _UPSERTED,
+    "upsert_small_daily_stats": _UPSERTED,
     "dedupe_keep_last": """
 SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "duplicate_report": """
@@ -278,6 +281,9 @@ FROM loaded
 UNION ALL SELECT 'load', 'failures', '{{}}', 0, NULL
 UNION ALL SELECT 'load', 'status', '{{}}', NULL, 'success'""",
     "late_parts": _ALL + _daily(),
+    "merged_daily_stats": f"""{_ALL}, served AS ({_daily()}),
+incoming AS ({_daily("day(pickup_datetime) % 2 = 0 AND hour(pickup_datetime) < 12")})
+SELECT * FROM incoming UNION ALL SELECT * FROM served ANTI JOIN incoming USING (pickup_date, taxi_type)""",
     "reprocessed_daily_stats": _ALL + _daily("day(pickup_datetime) % 2 = 0"),
     "fare_split": f"""{_ALL}, rows_ AS ({_FARES})
 {_split("rows_", _HOURLY_KEYS, "avg_fare")}""",
@@ -338,6 +344,13 @@ FROM flagged GROUP BY ALL""",
 SELECT {_TRIP_COLUMNS}, round(z_fare_amount, 4) AS z_fare_amount,
   round(z_trip_duration_minutes, 4) AS z_trip_duration_minutes, round(z_trip_distance, 4) AS z_trip_distance
 FROM flagged WHERE is_anomaly AND pickup_location_id = 3""",
+    "stored_anomalies": f"""{_ALL}, {_SCORED}
+SELECT pickup_location_id, taxi_type, COUNT(*) AS anomaly_count FROM flagged WHERE is_anomaly GROUP BY ALL""",
+    "stored_drilldown": f"""{_ALL}, {_SCORED}
+SELECT {_TRIP_COLUMNS}, round(z_fare_amount, 4) AS z_fare_amount,
+  round(z_trip_duration_minutes, 4) AS z_trip_duration_minutes, round(z_trip_distance, 4) AS z_trip_distance
+FROM flagged WHERE is_anomaly AND pickup_location_id = 3 AND taxi_type IN ('yellow', 'fhvhv')
+  AND strftime(pickup_datetime, '%Y-%m') = '2023-02'""",
     "zone_stats_lookup": f"""{_ALL} SELECT * FROM ({_HOURLY})
 WHERE pickup_location_id IN (3, 17, 42) AND pickup_date BETWEEN DATE '2023-01-10' AND DATE '2023-02-20'
   AND taxi_type IN ('yellow', 'green')""",
@@ -353,6 +366,8 @@ ORDER BY trip_count DESC, pickup_location_id LIMIT 10""",
       for b in ('morning', 'afternoon', 'evening', 'night')
   )}
 FROM clean GROUP BY pickup_location_id""",
+    "hotspot_checks": f"""{_ALL}
+SELECT COUNT(DISTINCT coalesce(pickup_location_id, -1)) AS "rows", CAST(0 AS BIGINT) AS misplaced FROM clean""",
     "latest_metrics": """
 WITH log AS (
   SELECT event_type AS job, ['rmse', 'mae', 'training_rows'][user_id % 3 + 1] AS metric,

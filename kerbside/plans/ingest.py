@@ -65,7 +65,7 @@ def ingest(
     """
     started = time.time()
     spark = store.spark
-    usable, unusable = _split_sources(sources)
+    usable, unusable = split_sources(sources)
     if not sources:
         store.append("run_metrics", metric_rows(spark, JOB, [("idle", {}, 1, None), _last_run()]))
         return store.log("manifest").limit(0)
@@ -84,10 +84,10 @@ def ingest(
         refresh_datasets(store, sorted(months), months)
         seconds = {taxi_type: (time.time() - started) / len(months) for taxi_type in months}
 
-    entries = _manifest_entries(usable, unusable, accounts)
-    store.append("manifest", _manifest_frame(spark, entries))
+    entries = manifest_entries(usable, unusable, accounts)
+    store.append("manifest", manifest_frame(spark, entries))
     store.append("run_metrics", metric_rows(spark, JOB, _run_metrics(entries, time.time() - started, seconds)))
-    return _manifest_frame(spark, entries)
+    return manifest_frame(spark, entries)
 
 
 def _months_of(sources: Sequence[Row]) -> dict[str, list[dt.date] | None]:
@@ -160,15 +160,15 @@ def _write_and_count(store: Store, states: DataFrame, named: DataFrame) -> dict[
     }
 
 
-def _split_sources(sources: Sequence[Row]) -> tuple[list[Row], list[Row]]:
+def split_sources(sources: Sequence[Row]) -> tuple[list[Row], list[Row]]:
     """Rows of sound sources, and those of sources that are of no known type or have a damaged file."""
     broken = {(row.source_folder, row.file_name) for row in sources if row.layout is None}
     sound = [row for row in sources if (row.source_folder, row.file_name) not in broken]
     return sound, [row for row in sources if (row.source_folder, row.file_name) in broken]
 
 
-def _manifest_entries(
-    usable: Sequence[Row], unusable: Sequence[Row], accounts: dict[tuple, tuple[int, int]]
+def manifest_entries(
+    usable: Sequence[Row], unusable: Sequence[Row], accounts: dict[tuple, tuple[int, int]], job: str = JOB
 ) -> list[tuple]:
     """One entry per source.
 
@@ -192,12 +192,12 @@ def _manifest_entries(
         length, parts = sum(row.length for row in rows), sum(row.parts for row in rows)
         newest = max(row.newest for row in rows)
         entries.append(
-            (JOB, name, rows[0].taxi_type, rows[0].source_month, length, status, *counts, folder, parts, newest)
+            (job, name, rows[0].taxi_type, rows[0].source_month, length, status, *counts, folder, parts, newest)
         )
     return entries
 
 
-def _manifest_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:
+def manifest_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:
     schema = (
         "stage string, file_name string, taxi_type string, source_month date, "
         "length bigint, status string, rows_in bigint, rows_kept bigint, source_folder string, parts bigint, "

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.intake import reset_rows
-from kerbside.operators.keyed import conform, dedupe_last, nan_to_null
+from kerbside.operators.keyed import conform, dedupe_last, nan_to_null, upsert_small
 from kerbside.plans.metrics import metric_rows
 from kerbside.plans.store import Store
 from kerbside.schema import DATASETS, PRIMARY_KEYS
 from kerbside.sources.listing import list_files
 from kerbside.sources.processed import changed, partition_times
+from kerbside.workspace import temporary, written
 
 JOB = "load"
 _log = logging.getLogger(__name__)
@@ -32,27 +33,32 @@ def load(
     store_dir: str,
     only: Sequence[tuple[str, str]] | None = None,
     force: bool = False,
+    merge: bool = False,
 ) -> DataFrame:
     """Bring changed dataset partitions into the serving tables.
 
     ``only`` restricts to some (dataset, taxi_type) pairs; ``force`` loads pairs
-    that have not changed, too. Returns the load log rows of this run.
+    that have not changed, too. Served rows are those of the datasets; with ``merge``
+    rows that are gone from a dataset stay, and only its files that are newer than the
+    last load are read and upserted by key. Returns the load log rows of this run.
     """
     store = Store(spark, store_dir)
     if force:
         reset_load(store)
     started = time.time()
     pairs: dict[str, dict[str, object]] = {}
+    since: dict[tuple[str, str], object] = {}
     # At most one row per dataset and taxi type. The times are taken before the
     # data is read: what is written meanwhile counts as changed next time.
     for row in changed_partitions(store).collect():
         if row.dataset in DATASETS and (only is None or (row.dataset, row.taxi_type) in only):
             pairs.setdefault(row.dataset, {})[row.taxi_type] = row.mtime
+            since[row.dataset, row.taxi_type] = row.last_mtime
 
     entries, seconds = [], {}
     for dataset, times in sorted(pairs.items()):
         began = time.time()
-        entries += _load_dataset(store, dataset, times)
+        entries += _load_dataset(store, dataset, times, since if merge else None)
         # The types of a dataset load in one job, and share its time.
         seconds |= {(dataset, taxi_type): (time.time() - began) / len(times) for taxi_type in times}
     log = _log_frame(spark, entries)
@@ -78,14 +84,19 @@ def reset(store: Store, stage: str | None = None) -> None:
         reset_load(store)
 
 
-def _load_dataset(store: Store, dataset: str, times: dict[str, object]) -> list[tuple]:
+def _load_dataset(
+    store: Store, dataset: str, times: dict[str, object], since: dict[tuple[str, str], object] | None = None
+) -> list[tuple]:
     """Load all types in one job; if that fails, one by one, so that a bad partition
     holds up no other."""
     attempts = [list(times)] if len(times) == 1 else [list(times), *[[t] for t in times]]
     entries: dict[str, tuple] = {}
     for types in attempts:
         try:
-            rows = _upsert_types(store, dataset, types)
+            if since is None:
+                rows = _upsert_types(store, dataset, types)
+            else:
+                rows = _merge_types(store, dataset, {t: since[dataset, t] for t in types})
         except Exception as error:
             _log.warning("loading %s %s failed: %s", dataset, types, error)
             if len(types) == 1:
@@ -102,11 +113,28 @@ def _upsert_types(store: Store, dataset: str, types: list[str]) -> dict[str, int
     """A dataset holds all rows of a type, so that they replace those served: keys that are
     gone from it are gone from the table."""
     rows = store.dataset(dataset).filter(F.col("taxi_type").isin(*types))
-    # Datasets that this library wrote are unique by key; of copies that others
-    # added, the row of the newest file counts.
+    return store.replace_serving(dataset, _incoming(dataset, rows), types)
+
+
+def _merge_types(store: Store, dataset: str, since: dict[str, object]) -> dict[str, int]:
+    """Upsert what files newer than ``since`` (by type; None: all) hold into the rows served."""
+    rows, types = store.dataset(dataset), list(since)
+    wanted = F.lit(False)
+    for taxi_type, last in since.items():
+        own = F.col("taxi_type") == taxi_type
+        wanted = wanted | (own if last is None else own & (F.col("_metadata.file_modification_time") > F.lit(last)))
+    with temporary(store.spark):
+        changed_rows = written(_incoming(dataset, rows.filter(wanted)), "incoming")
+        served = store.serving(dataset).filter(F.col("taxi_type").isin(*types))
+        return store.replace_serving(dataset, upsert_small(served, changed_rows, PRIMARY_KEYS[dataset]), types)
+
+
+def _incoming(dataset: str, rows: DataFrame) -> DataFrame:
+    """Datasets that this library wrote are unique by key; of copies that others added,
+    the row of the newest file counts."""
     versioned = rows.withColumn("_written", F.col("_metadata.file_modification_time"))
-    incoming = dedupe_last(versioned, PRIMARY_KEYS[dataset], "_written")
-    return store.replace_serving(dataset, nan_to_null(conform(incoming, DATASETS[dataset])), types)
+    newest = dedupe_last(versioned, PRIMARY_KEYS[dataset], "_written")
+    return nan_to_null(conform(newest, DATASETS[dataset]))
 
 
 def _log_frame(spark: SparkSession, entries: list[tuple]) -> DataFrame:

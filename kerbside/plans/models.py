@@ -23,7 +23,16 @@ from kerbside.functions.clock import calendar_columns
 from kerbside.operators.joins import lookup_join
 from kerbside.plans.metrics import metric_rows
 from kerbside.plans.store import Store
-from kerbside.schema import DATASETS, FARE_TYPES, MAX_LABEL_FARE, PRIMARY_KEYS, REGRESSION, SPLIT_SEED, TRAIN_SHARE
+from kerbside.schema import (
+    DATASETS,
+    FARE_TYPES,
+    MAX_LABEL_FARE,
+    PRIMARY_KEYS,
+    REGRESSION,
+    SCORED,
+    SPLIT_SEED,
+    TRAIN_SHARE,
+)
 
 # Columns that pipeline stages add on their way to a prediction.
 _WORKING_COLUMNS = (
@@ -35,7 +44,7 @@ REGRESSION_FEATURES = (*ZONE_FEATURES, "taxi_type_idx")
 # By how much of the label's deviation the gradient of a fit may differ from that of the best one.
 CHECK_TOLERANCE = 1e-3
 TIP_KEYS = ("pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "taxi_type")
-CLUSTER_FEATURES = ("fare_amount", "trip_duration_minutes", "trip_distance")
+CLUSTER_FEATURES = SCORED
 QUANTILE_BINS = 1000
 QUANTILE_PASSES = 3
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,9 +100,38 @@ def hotspots(zone_time_buckets: DataFrame, k: int = 4, seed: int = SPLIT_SEED) -
     """Zones clustered by their profile over the day."""
     # One row per zone, for the fit and for its use.
     profiles = written(hotspot_profiles(zone_time_buckets), "hotspots")
+    return fit_hotspots(profiles, k, seed).transform(profiles).drop("features")
+
+
+def fit_hotspots(profiles: DataFrame, k: int = 4, seed: int = SPLIT_SEED) -> PipelineModel:
+    """Clusters of ``hotspot_profiles``."""
     inputs = [f"{bucket}_share" for bucket in BUCKETS]
     stages = [
         VectorAssembler(inputCols=inputs, outputCol="features"),
         KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed),
     ]
-    return Pipeline(stages=stages).fit(profiles).transform(profiles).drop("features")
+    return Pipeline(stages=stages).fit(profiles)
+
+
+def hotspot_choices(
+    zone_time_buckets: DataFrame, candidates: Sequence[int] = range(2, 9), seed: int = SPLIT_SEED
+) -> DataFrame:
+    """Candidate numbers of hotspot clusters with their silhouette (squared distances); the
+    best is chosen, of equal ones the smallest.
+
+    Numbers that the zones cannot fill, because too few of them differ, have no silhouette;
+    where none has one, none is chosen.
+    """
+    profiles = written(hotspot_profiles(zone_time_buckets), "hotspots")
+    inputs = [f"{bucket}_share" for bucket in BUCKETS]
+    different = profiles.select(*inputs).distinct().count()
+    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
+    scores: list[tuple[int, float | None]] = []
+    for k in sorted(set(candidates)):
+        placed = fit_hotspots(profiles, k, seed).transform(profiles) if 2 <= k <= different else None
+        filled = placed is not None and placed.select("cluster").distinct().count() > 1
+        scores.append((k, evaluator.evaluate(placed) if filled else None))
+    best = max((score for _, score in scores if score is not None), default=None)
+    chosen = next((k for k, score in scores if score is not None and score == best), None)
+    rows = [(k, score, k == chosen) for k, score in scores]
+    return profiles.sparkSession.createDataFrame(rows, "k int, silhouette double, chosen boolean")

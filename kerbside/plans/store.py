@@ -5,6 +5,7 @@ Layout below the root folder::
     states/taxi_type=…/source_file=…/folder_id=…/     partial states, one partition per raw source
     monthly/taxi_type=…/month=…/                      states per month, zone and hour
     datasets/{name}/taxi_type=…/month=…/              the four aggregates (month=all if undated)
+    flagged/taxi_type=…/month=…/source_file=…/folder_id=…/   flagged trips, one partition per raw source
     serving/{name}/version=…/taxi_type=…/             keyed serving tables, a version per load
     log/{manifest,load_log,serving_log,model_log,run_metrics}/
 
@@ -15,6 +16,7 @@ Logs are only ever appended to. One driver writes at a time.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -23,8 +25,9 @@ from pyspark.sql import types as T
 
 from kerbside.functions.moments import TRIPS, UNITS, state_columns
 from kerbside.operators.keyed import conform
-from kerbside.schema import DATASETS, LOAD_LOG, MANIFEST, MODEL_LOG, RUN_METRICS, SERVING_LOG
+from kerbside.schema import DATASETS, LOAD_LOG, MANIFEST, MODEL_LOG, RUN_METRICS, SCORED, SERVING_LOG, TRIP_SCHEMA
 from kerbside.sources.processed import read_or_empty
+from kerbside.sources.raw import folder_id
 from kerbside.workspace import remove
 
 ALL_MONTHS = "all"
@@ -52,6 +55,13 @@ MONTHLY_SCHEMA = T.StructType(
         T.StructField("month", T.StringType()),
     ]
 )
+FLAGGED_SCHEMA = T.StructType(
+    [
+        *[field for field in TRIP_SCHEMA.fields if field.name != "taxi_type"],
+        *[T.StructField(f"z_{name}", T.DoubleType()) for name in SCORED],
+        *[T.StructField(name, T.StringType()) for name in ("taxi_type", "month", "source_file", "folder_id")],
+    ]
+)
 LOGS = {
     "manifest": MANIFEST,
     "load_log": LOAD_LOG,
@@ -142,6 +152,7 @@ class Store:
         *columns: str,
         observation: Observation | None = None,
         observed: Sequence[Column] = (),
+        order: Sequence[str] = (),
     ) -> None:
         # REBALANCE gathers the rows of a partition in few tasks, hence few files,
         # but lets adaptive execution split a partition that is too large for one.
@@ -150,6 +161,8 @@ class Store:
             # Observed behind the exchange, in the tasks that write: those count once
             # each, whatever is run again. A stage before it may count twice.
             rows = rows.observe(observation, *observed)
+        if order:
+            rows = rows.sortWithinPartitions(*columns, *order)
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -157,6 +170,47 @@ class Store:
             .parquet(path)
         )
 
+    # -- flagged trips ---------------------------------------------------------
+
+    def flagged(self, types: Sequence[str] | None = None, months: Sequence[dt.date] | None = None) -> DataFrame:
+        """Stored flagged trips with their z-scores.
+
+        Types and months of pickup (any day of them) are looked for in their folders only;
+        sources without a month in their name may hold any.
+        """
+        rows = read_or_empty(self.spark, f"{self.root}/flagged", FLAGGED_SCHEMA)
+        if types is not None:
+            rows = rows.filter(F.col("taxi_type").isin(*types))
+        if months is not None:
+            names = [f"{month:%Y-%m}" for month in months]
+            rows = rows.filter(F.col("month").isin(*names, ALL_MONTHS))
+            rows = rows.filter(F.date_format("pickup_datetime", "yyyy-MM").isin(*names))
+        # A partition without flagged trips holds a marker, which has no pickup.
+        rows = rows.filter(F.col("pickup_datetime").isNotNull())
+        return rows.select(*TRIP_SCHEMA.fieldNames(), *[f"z_{name}" for name in SCORED])
+
+    def write_flagged(self, rows: DataFrame, sources: DataFrame) -> dict[tuple, int]:
+        """Replace the flagged trips of ``sources`` (taxi_type, source_file, source_month,
+        source_folder); trips flagged by (source_folder, source_file).
+
+        Rows of a file lie in the order of their zone: a question about a zone skips the
+        row groups of others.
+        """
+        month = F.coalesce(F.date_format("source_month", "yyyy-MM"), F.lit(ALL_MONTHS)).alias("month")
+        named = sources.select("*", folder_id().alias("folder_id"))
+        markers = named.select("taxi_type", "source_file", "folder_id", month)
+        both = rows.select("*", month).unionByName(markers, allowMissingColumns=True)
+        path, columns = f"{self.root}/flagged", ("taxi_type", "month", "source_file", "folder_id")
+        self._overwrite_partitions(conform(both, FLAGGED_SCHEMA), path, *columns, order=["pickup_location_id"])
+        written = read_or_empty(self.spark, path, FLAGGED_SCHEMA).join(F.broadcast(markers), list(columns), "left_semi")
+        found = written.filter(F.col("pickup_datetime").isNotNull()).groupBy("source_file", "folder_id").count()
+        # One row per source, on both sides.
+        counts = {(row.source_file, row.folder_id): row["count"] for row in found.collect()}
+        return {
+            (row.source_folder, row.source_file): counts.get((row.source_file, row.folder_id), 0)
+            for row in named.collect()
+        }
+
     # -- serving tables ------------------------------------------------------
 
     def serving(self, name: str) -> DataFrame:

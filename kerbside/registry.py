@@ -25,6 +25,7 @@ from kerbside.sources import coverage as cov
 from kerbside.sources.listing import check_files, raw_inventory
 from kerbside.sources.processed import changed
 from kerbside.sources.raw import scan_raw
+from kerbside.streaming.flags import run_flag_stream
 from kerbside.streaming.intake import run_stream
 from kerbside.workspace import scratch, written
 
@@ -286,10 +287,20 @@ def changed_partitions(spark, sf):
 @query
 def upsert_daily_stats(spark, sf):
     """January, February and undated trips first; then all but those of January, without the fare column."""
+    return keyed.upsert(*_daily_upsert(spark, sf), PRIMARY_KEYS["daily_stats"])
+
+
+@query
+def upsert_small_daily_stats(spark, sf):
+    """The same, with the incoming rows stored and looked up in place of a shuffle of the target."""
+    target, incoming = _daily_upsert(spark, sf)
+    return keyed.upsert_small(target, written(incoming, "incoming"), PRIMARY_KEYS["daily_stats"])
+
+
+def _daily_upsert(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     trips, month = _clean(spark, sf), F.col("source_month")
     target = agg.daily_stats(trips.filter(month.isNull() | (month <= FEB)))
-    incoming = agg.daily_stats(trips.filter(month.isNull() | (month >= FEB))).drop("avg_fare")
-    return keyed.upsert(target, incoming, PRIMARY_KEYS["daily_stats"])
+    return target, agg.daily_stats(trips.filter(month.isNull() | (month >= FEB))).drop("avg_fare")
 
 
 @query
@@ -381,6 +392,18 @@ def reprocessed_daily_stats(spark, sf):
     return Store(spark, store_dir).serving("daily_stats")
 
 
+@query
+def merged_daily_stats(spark, sf):
+    """Sources that lose odd days and afternoons after they were served; upserted, so that lost days stay."""
+    store_dir, raw_dir = scratch(spark, "store"), scratch(spark, "raw")
+    left = (F.dayofmonth("pickup_datetime") % 2 == 0) & (F.hour("pickup_datetime") < 12)
+    for trips in (_trips(spark, sf), _trips(spark, sf).filter(left)):
+        fixtures.write_raw_files(trips, raw_dir, replace=True)
+        ingest.run(spark, raw_dir, store_dir, AS_OF)
+        load.load(spark, store_dir, only=[("daily_stats", t) for t in TAXI_TYPES], merge=True)
+    return Store(spark, store_dir).serving("daily_stats")
+
+
 @query
 def served_daily_stats(spark, sf):
     """Raw files through ingest and load into the keyed serving table."""
@@ -579,6 +602,32 @@ def zscore_drilldown(spark, sf):
     )
 
 
+def _flagged_store(spark: SparkSession, sf: str) -> Store:
+    """Raw files through ingest, and their trips flagged by two runs of the stream."""
+    store, checkpoint = Store(spark, scratch(spark, "store")), scratch(spark, "flag-checkpoint")
+    ingest.run(spark, _raw_dir(spark, sf), store.root, AS_OF)
+    for _ in range(2):
+        run_flag_stream(spark, store.root, checkpoint, AS_OF, ZSCORE_THRESHOLD).awaitTermination()
+    return store
+
+
+@query
+def stored_anomalies(spark, sf):
+    """Stored flagged trips per zone and type."""
+    flagged = _flagged_store(spark, sf).flagged()
+    return flagged.groupBy("pickup_location_id", "taxi_type").agg(F.count(F.lit(1)).alias("anomaly_count"))
+
+
+@query
+def stored_drilldown(spark, sf):
+    """Stored flagged trips of some types, a month and a zone."""
+    flagged = _flagged_store(spark, sf).flagged(["yellow", "fhvhv"], [FEB])
+    flagged = flagged.filter(F.col("pickup_location_id") == CHECKED_ZONES[0])
+    return flagged.select(
+        *TRIP_SCHEMA.fieldNames(), *[F.round(c, 4).alias(c) for c in flagged.columns if c.startswith("z_")]
+    )
+
+
 # -- serving ---------------------------------------------------------------------------------------------
 
 
@@ -615,6 +664,21 @@ def hotspot_clusters(spark, sf):
     return serving.hotspots(agg.zone_time_buckets(_clean(spark, sf)))
 
 
+@query
+def hotspot_checks(spark, sf):
+    """Zones in hotspot clusters; none of them is nearer to another centre."""
+    profiles = written(serving.hotspot_profiles(agg.zone_time_buckets(_clean(spark, sf))), "hotspots")
+    fitted = serving.fit_hotspots(profiles)
+    centres = fitted.stages[-1].clusterCenters()
+    return models.cluster_checks(fitted.transform(profiles), models.vector_to_array("features"), centres)
+
+
+@query
+def hotspot_choice(spark, sf):
+    """Numbers of hotspot clusters by their silhouette."""
+    return serving.hotspot_choices(agg.zone_time_buckets(_clean(spark, sf)))
+
+
 @query
 def latest_metrics(spark, sf):
     names = F.array(F.lit("rmse"), F.lit("mae"), F.lit("training_rows"))

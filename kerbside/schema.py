@@ -128,6 +128,9 @@ TRIP_SCHEMA = _struct(
     taxi_type=_STRING,
 )
 
+# What is held against the statistics of its zone.
+SCORED = ("fare_amount", "trip_duration_minutes", "trip_distance")
+
 DATASETS = {
     "zone_hourly": _struct(
         pickup_year=_INT,

@@ -35,15 +35,19 @@ def partition_times(files: DataFrame) -> DataFrame:
 
 
 def changed(partitions: DataFrame, load_log: DataFrame) -> DataFrame:
-    """Partitions never loaded, or modified since their last successful load."""
-    loaded = (
+    """Partitions never loaded, or modified since their last successful load (``last_mtime``)."""
+    return (
+        partitions.join(loaded(load_log), ["dataset", "taxi_type"], "left")
+        .filter(F.col("last_mtime").isNull() | (F.col("mtime") > F.col("last_mtime")))
+        .select("dataset", "taxi_type", "mtime", "last_mtime")
+    )
+
+
+def loaded(load_log: DataFrame) -> DataFrame:
+    """Partitions whose last load went well, with the change it has seen last."""
+    return (
         load_log.groupBy("dataset", "taxi_type")
         .agg(F.max_by(F.struct("last_mtime", "status"), "loaded_at").alias("last"))
         .filter(F.col("last.status") == "loaded")
         .select("dataset", "taxi_type", F.col("last.last_mtime").alias("last_mtime"))
     )
-    return (
-        partitions.join(loaded, ["dataset", "taxi_type"], "left")
-        .filter(F.col("last_mtime").isNull() | (F.col("mtime") > F.col("last_mtime")))
-        .select("dataset", "taxi_type", "mtime")
-    )

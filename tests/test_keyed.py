@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from frames import rows_of
 from kerbside.operators.joins import lookup_join
-from kerbside.operators.keyed import conform, dedupe_last, duplicate_count, nan_to_null, upsert
+from kerbside.operators.keyed import conform, dedupe_last, duplicate_count, nan_to_null, upsert, upsert_small
 
 
 def test_dedupe_keeps_the_highest_version_in_any_order(spark):
@@ -77,3 +77,20 @@ def test_lookup_join_gives_the_same_either_way(spark, how):
     assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
     assert rows_of(small) == rows_of(salted)
     assert small.count() == (len(rows) if how == "left" else 300 + 200 + 58)
+
+
+def test_small_upsert_is_an_upsert_that_moves_no_target(spark, tmp_path):
+    schema = "k int, day string, a int, b int"
+    old = [(1, "x", 10, 100), (2, "x", 20, 200), (None, "x", 30, 300), (3, "y", None, 400)]
+    spark.createDataFrame(old, schema).write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    source = spark.createDataFrame([(2, "x", None), (3, "x", 7), (None, "x", 8)], "k int, day string, a int")
+    found = upsert_small(target, source, ["k", "day"])
+    assert rows_of(found) == rows_of(upsert(target, source, ["k", "day"]))
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    # Beyond the bounds, and with nothing on one side.
+    assert rows_of(upsert_small(target, source, ["k", "day"], broadcast_rows=1)) == rows_of(found)
+    assert rows_of(upsert_small(target, source.limit(0), ["k", "day"])) == rows_of(target)
+    assert upsert_small(target.limit(0), source, ["k", "day"]).count() == 3
+    with pytest.raises(ValueError):
+        upsert_small(target, source.withColumnRenamed("a", "c"), ["k", "day"])

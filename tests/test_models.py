@@ -261,3 +261,18 @@ def test_checks_find_coefficients_that_are_not_the_best(hourly):
     train, test = models.hash_split(training, models.PRIMARY_KEYS["zone_hourly"])
     assert all(r.optimal for r in models.regression_checks(train, "avg_fare", fitted).collect())
     assert not all(r.optimal for r in models.regression_checks(test, "avg_fare", fitted).collect())
+
+
+def test_the_number_of_hotspots_is_that_of_the_best_silhouette(spark):
+    counts = {1: (10, 0), 2: (9, 1), 3: (0, 10), 4: (1, 9)}
+    rows = [(zone, name, "fhv", n) for zone, pair in counts.items() for name, n in zip(("night", "morning"), pair)]
+    schema = "pickup_location_id bigint, time_bucket string, taxi_type string, trip_count bigint"
+    buckets = spark.createDataFrame(rows, schema)
+    found = {row.k: row for row in serving.hotspot_choices(buckets, (5, 3, 2)).collect()}
+    # Squared distances: 0.02 to the twin; 2 and 1.62, or 1.62 and 1.28, to the others.
+    plain = statistics.mean((1 - 0.02 / 1.81, 1 - 0.02 / 1.45))
+    assert found[2].silhouette == pytest.approx(plain) and found[3].silhouette < plain
+    assert found[5].silhouette is None, "four zones are no five clusters"
+    assert [k for k, row in found.items() if row.chosen] == [2]
+    none = serving.hotspot_choices(buckets.limit(0), (2, 3)).collect()
+    assert [(row.silhouette, row.chosen) for row in none] == [(None, False)] * 2

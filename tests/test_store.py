@@ -310,3 +310,24 @@ print("counted once")
 """
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path)
     assert "counted once" in done.stdout, done.stderr[-2000:]
+
+
+def test_merging_load_keeps_what_is_gone(spark, tmp_path, derived):
+    store = _store_with(spark, tmp_path / "store", derived)
+    only = [("daily_stats", "yellow"), ("daily_stats", "fhv")]
+
+    def keyed_rows(frame):
+        rows = frame.select(*DATASETS["daily_stats"].fieldNames()).collect()
+        return {(row.pickup_date, row.taxi_type): row for row in rows}
+
+    load.load(spark, store.root, only=only, merge=True)
+    before = keyed_rows(store.serving("daily_stats"))
+    assert before == keyed_rows(store.dataset("daily_stats"))
+    fewer = derived.filter((F.dayofmonth("pickup_datetime") % 2 == 0) & (F.hour("pickup_datetime") < 12))
+    store.write_states(agg.partials(fewer, as_of_year=AS_OF.year))
+    ingest.refresh_datasets(store, ["yellow", "fhv"])
+    now = keyed_rows(store.dataset("daily_stats"))
+    assert 0 < len(now) < len(before)
+    load.load(spark, store.root, only=only, merge=True)
+    assert keyed_rows(store.serving("daily_stats")) == before | now
+    assert load.load(spark, store.root, only=only, merge=True).count() == 0

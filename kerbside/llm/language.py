@@ -209,9 +209,12 @@ def predictor(model: LanguageModel, penalty: float = PENALTY):
 
 def identify(documents: DataFrame, model: LanguageModel, penalty: float = PENALTY) -> DataFrame:
     """The documents with lang_pred, score (share of that language), languages (all of the set) and
-    fit (by how much a trigram is more likely under them than by chance, as a logarithm; null for ``und``)."""
+    fit (by how much a trigram is more likely under them than by chance, as a logarithm; null for ``und``).
+
+    A filter on these columns is not pushed below the prediction, which would then run twice.
+    """
     small_batches(documents.sparkSession)
-    found = predictor(model, penalty)("text")
+    found = predictor(model, penalty).asNondeterministic()("text")
     rows = documents.drop(*ADDED, "_found").withColumn("_found", found)
     return rows.select("*", "_found.*").drop("_found")
 

@@ -1,5 +1,7 @@
 """Language mixtures: accuracy on held-out documents, mixtures found, odd texts."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,14 @@ def test_nothing_learned(build):
     assert language.identify(build([]), model).count() == 0
 
 
+def test_a_filter_predicts_once(build, model):
+    """The prediction is the costly part: filters on its result do not repeat it."""
+    found = language.identify(build(HARD), model).filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("fit") > -1.0))
+    plan = found.select("doc_id", "lang_pred")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython", plan)) == 1
+    assert found.count() > 0
+
+
 def test_mixture_of_two(spark, model, build):
     """A text of two parts English and one part German."""
     documents = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars between 2000 and 9000")

@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -33,6 +33,7 @@ from kerbside.schema import (
     SPLIT_SEED,
     TRAIN_SHARE,
 )
+from kerbside.workspace import scratch, temporary
 
 # Columns that pipeline stages add on their way to a prediction.
 _WORKING_COLUMNS = (
@@ -321,7 +322,7 @@ def train_tip(trips: DataFrame, model_path: str | None = None, max_iter: int = 5
     ]
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = Pipeline(stages=stages).fit(rows.filter("training"))
+        model = _without_summary(Pipeline(stages=stages).fit(rows.filter("training")))
         predictions = model.transform(rows.filter("NOT training"))
         right = F.sum(F.when(F.col("prediction") == F.col("tipped"), F.col("weight")).otherwise(0.0))
         counts = predictions.agg(F.sum("weight").alias("test_rows"), (right / F.sum("weight")).alias("accuracy")).first()
@@ -335,6 +336,19 @@ def train_tip(trips: DataFrame, model_path: str | None = None, max_iter: int = 5
     return Fitted(model, metrics)
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """A fitted model as it is when saved and loaded.
+
+    The training summary of a fitted classifier holds the session. Tasks get the model with it,
+    which fails as soon as anything in the session has been observed.
+    """
+    spark = SparkSession.active()
+    with temporary(spark):
+        path = scratch(spark, "model")
+        model.write().save(path)
+        return PipelineModel.load(path)
+
+
 # -- anomalies --------------------------------------------------------------------
 
 

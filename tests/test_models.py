@@ -4,6 +4,7 @@ import statistics
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from frames import rows_of
@@ -85,6 +86,19 @@ def test_tip_model(clean):
     assert metrics["test_rows"] > 0
 
 
+def test_tip_model_in_a_session_that_observed(spark, trips):
+    """Fitted, measured and asked for scores after an observation in the same session."""
+    observation = Observation()
+    assert spark.range(3).observe(observation, F.count(F.lit(1)).alias("n")).count() == 3
+    assert observation.get == {"n": 3}
+    rows = [{"pickup_location_id": i, "payment_type": 1 + i % 2, "tip_amount": float(i % 2)} for i in range(40)]
+    frame = rules.clean(trips(*rows), as_of_year=2025)
+    fitted = models.train_tip(frame)
+    assert fitted.metrics["test_rows"] > 0 and fitted.metrics["accuracy"] == 1.0
+    scored = models.score(fitted.model, models.tip_training_set(frame))
+    assert scored.filter("prediction = tipped").count() == 40
+
+
 def test_clusters_flag_the_farthest(clean):
     flagged = models.cluster_trips(clean, k=3, cut=0.9)
     assert flagged.count() == clean.count()

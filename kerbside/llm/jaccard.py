@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import same, small_batches, stored, text_of
+from kerbside.llm.common import same, small_batches, stored, text_of, tidy
 from kerbside.llm.prefix_tree import links, needed
 from kerbside.llm.shingles import gram_sets, mixed
 from kerbside.operators.joins import lookup_join
@@ -71,7 +72,7 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
             own = [batch.column("doc_id"), batch.column("text_digest")]
             yield _batch([*own, *(zip(*found) if found else ([], [], []))], schema)
 
-    return documents.select("doc_id", "text", text_digest().alias("text_digest")).mapInArrow(sign, schema)
+    return documents.select("doc_id", "text", text_digest().alias("text_digest")).mapInArrow(tidy(sign), schema)
 
 
 def _parts(documents: DataFrame) -> int:
@@ -118,8 +119,8 @@ def common_grams(documents: DataFrame, words: int = WORDS, most: int = COMMON) -
             keys = (np.uint64(part) << np.uint64(32)) | grams[keep].astype(np.uint64)
             yield _batch([keys.astype(np.int64), df[keep]], "key bigint, df bigint")
 
-    dealt = documents.mapInArrow(deal, schema).repartitionById(parts, F.col("part"))
-    counts = dealt.mapInArrow(count, "key bigint, df bigint")
+    dealt = documents.mapInArrow(tidy(deal), schema).repartitionById(parts, F.col("part"))
+    counts = dealt.mapInArrow(tidy(count), "key bigint, df bigint")
     level = F.floor(F.log2("df") * 8)
     counts = stored(counts.withColumn("level", level), "jaccard-frequencies")
     least, rows = None, 0
@@ -158,12 +159,16 @@ _ENTRY = "gram bigint, s1 bigint, n bigint, place bigint"
 
 
 def shared_prefixes(
-    documents: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int = WORDS, percent: int = PERCENT
+    documents: DataFrame, common: tuple[np.ndarray, np.ndarray] | Broadcast, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """Prefix elements (gram, s1, n, place) that may be the first common one of similar sets."""
+    """Prefix elements (gram, s1, n, place) that may be the first common one of similar sets.
+
+    ``common`` is what ``common_grams`` gives, or a broadcast of it.
+    """
     parts = _parts(documents)
     schema = "part int, grams binary, sets binary, sizes binary, places binary"
-    common = documents.sparkSession.sparkContext.broadcast(common)
+    if not isinstance(common, Broadcast):
+        common = documents.sparkSession.sparkContext.broadcast(common)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, seen = [], 0, set()
@@ -219,8 +224,8 @@ def shared_prefixes(
         for i in range(0, len(columns[0]), 100_000):
             yield _batch([c[i : i + 100_000] for c in columns], _ENTRY)
 
-    dealt = documents.mapInArrow(deal, schema).repartitionById(parts, F.col("part"))
-    return dealt.mapInArrow(meet, _ENTRY)
+    dealt = documents.mapInArrow(tidy(deal), schema).repartitionById(parts, F.col("part"))
+    return dealt.mapInArrow(tidy(meet), _ENTRY)
 
 
 def may_match(grams: np.ndarray, sizes: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
@@ -278,7 +283,7 @@ def _linked(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     by = ["gram", "i", "j"]
     groups = stored(groups, "jaccard-groups")
     together = lookup_join(sets, groups, ["class"]).repartition(*by).sortWithinPartitions(*by, "class")
-    return stored(together.mapInArrow(search, schema), "jaccard-links")
+    return stored(together.mapInArrow(tidy(search), schema), "jaccard-links")
 
 
 def _blocks(size: Column) -> Column:
@@ -349,10 +354,11 @@ def join(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
         "jaccard-classes",
     )
     named_documents = documents.filter("doc_id IS NOT NULL")
-    common = common_grams(named_documents, words)
+    common = documents.sparkSession.sparkContext.broadcast(common_grams(named_documents, words))
     entries = shared_prefixes(named_documents, common, words, percent)
     entries = entries.join(classes.select("s1", "n", "class"), ["s1", "n"]).select("gram", "class")
     entries = stored(entries, "jaccard-entries")
+    common.unpersist()  # on the executors; a task that is run again gets it anew
     sets = _active_sets(named_documents, classes, entries, words)
 
     sizes = stored(entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")), "jaccard-sizes")
@@ -426,5 +432,5 @@ def _active_sets(documents: DataFrame, classes: DataFrame, entries: DataFrame, w
                 yield _batch(list(zip(*own)) if own else [[], []], schema)
 
     texts = lookup_join(documents, active, ["doc_id"]).select("class", "s1", "s2", "text")
-    rows = texts.mapInArrow(build, schema)
+    rows = texts.mapInArrow(tidy(build), schema)
     return stored(rows.groupBy("class").agg(F.first("grams").alias("grams")), "jaccard-sets")

@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_WINDOW = 1 << 20
-_SLICE_BYTES = 4 << 20
+_WINDOW = 1 << 18
+_SLICE_BYTES = 1 << 20
 
 
 def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:

@@ -2,13 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from kerbside.llm import jaccard
+from kerbside.llm import common, jaccard, shingles
 from kerbside.llm.prefix_tree import PrefixTree, links, needed
 from kerbside.llm.shingles import gram_sets
 from tests_llm_data import HARD
@@ -171,3 +173,32 @@ def test_texts_of_one_id_are_one_document(build):
     assert got(build(rows)) == expected(rows)
     kept = {(r["doc_id"], r["n_shingles"]) for r in jaccard.join(build(rows)).filter("kept").collect()}
     assert kept == {(3, 36), (5, 36), (7, 0), (4, 36)}
+
+
+def test_memory_of_sets_does_not_grow_with_the_batch():
+    """Sets of a batch of 6 MB take a few MB on their way; a worker keeps what its tasks once took."""
+    text = " ".join(f"w{i * 7919 % 65537}" for i in range(2_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * (6_000_000 // len(text)))], ["text"])
+    for _ in shingles.gram_sets(batch.slice(0, 1), 5):
+        pass
+    tracemalloc.start()
+    try:
+        for _ in shingles.gram_sets(batch, 5):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 << 20
+
+
+def test_tidy_hands_on_every_batch_and_frees_at_the_end(monkeypatch):
+    freed = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: SimpleNamespace(malloc_trim=freed.append))
+    batches = [pa.RecordBatch.from_arrays([pa.array([i])], ["n"]) for i in range(3)]
+    rows = common.tidy(lambda some: iter(some))(iter(batches))
+    assert next(rows) is batches[0] and not freed
+    assert list(rows) == batches[1:] and freed == [0]
+    left = common.tidy(lambda some: iter(some))(iter(batches))
+    next(left)
+    left.close()  # a task that needs no more rows
+    assert freed == [0, 0]
